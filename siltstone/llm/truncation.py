@@ -30,10 +30,10 @@ MIN_PAIR, MIN_WORD = 10, 20  # occurrences of the last two words, of the last wo
 MAX_TERMINAL_RARE = 0.02  # ... and the part of them that may be terminal
 
 # What cutting systems put at the end.
-HARD_MARKS = r"(\s*(\.\.\.|…)?\s*([\[(]\s*(read more|more|continue reading|truncated)\s*[\])]|(?<=(\.\.\.|…)\s?)(read more|more|continue reading))|…|<!--[^>]*(-->)?|\x{FFFD}+|&[a-z#0-9]{0,8})\s*$"
+HARD_MARKS = r"(\s*(\.\.\.|…)?\s*([\[(]\s*(read more|more|continue reading|truncated)\s*[\])]|(?<=(\.\.\.|…)\s?)(read more|more|continue reading))|…|<!--[^>]*(-->)?|\x{FFFD}+|(?-i:&(#[0-9x]{0,6}|[a-z]{0,7})))\s*$"
 SOFT_MARK = r"\.\.\.\s*$"
 # Words (a number counts as the word 0), signs inside sentences, list signs, sentence marks, line ends.
-TOKENS = r"[\p{L}\p{M}0]+|[,;:]|[-–—*•>|→](?=\s|$)|[.!?…](?=[\s\"”’)\]]|$)|[\n\r]+"
+TOKENS = r"[\p{L}\p{M}0]+|[,;]|[-–—*•>|→]+(?=\s|$)|[.!?…](?=[\s\"”’)\]]|$)|[\n\r]+"
 
 
 def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -110,9 +110,10 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
                n - ends >= {MIN_INNER} AND ends <= {MAX_TERMINAL} * n AS goes_on,
                n - ends <= 0.01 * begun_n AND ends <= 0.1 * begun_n AND begun_n >= 2 AND begun_inner >= 1 AS half_word,
                n < {MIN_INNER} AND b != '/' AND (
-                 CASE WHEN pair_n >= {MIN_PAIR} THEN pair_ends <= {MAX_TERMINAL_RARE} * pair_n
+                 CASE WHEN pair_n >= {MIN_PAIR} THEN pair_ends <= {MAX_TERMINAL_RARE} * pair_n AND word_ends <= {MAX_TERMINAL} * word_n
                       WHEN word_n >= {MIN_WORD} AND word_ends <= 0.01 * word_n THEN true
-                      ELSE after_n >= {MIN_WORD} AND after_ends <= 0.01 * after_n AND word_ends <= 0.5 * word_n END
+                      ELSE a RLIKE r'^\p{{{{L}}}}' AND b RLIKE r'^\p{{{{L}}}}'
+                           AND after_n >= {MIN_WORD} AND after_ends <= 0.01 * after_n AND word_ends <= 0.5 * word_n END
                ) AS rare_goes_on,
                n >= 2 AND ends >= 0.5 * n AS stops
         FROM known
