@@ -118,3 +118,52 @@ QUERIES = {
         p6_found, p6_languages, p6_segments, p7_ids, p8_found, p8_shares, p8_mix, p9_found, p9_rates,
     )
 }
+
+# The cutoff of each target: the highest score that the target fraction reaches.
+_KEPT = """
+WITH records AS (
+  SELECT record_id, coalesce(subset, 'unknown') AS subset,
+         max(CASE WHEN NOT isnan(fineweb_edu_classifier_score) THEN fineweb_edu_classifier_score END) AS s0,
+         max(CASE WHEN NOT isnan(fasttext_eli5_score) THEN fasttext_eli5_score END) AS s1,
+         max(CASE WHEN NOT isnan(fasttext_preselect_score) THEN fasttext_preselect_score END) AS s2
+  FROM classify GROUP BY 1, 2),
+long AS (
+  SELECT record_id, subset, 'fineweb_edu_classifier_score' AS score_name, s0 AS value FROM records WHERE s0 IS NOT NULL
+  UNION ALL SELECT record_id, subset, 'fasttext_eli5_score', s1 FROM records WHERE s1 IS NOT NULL
+  UNION ALL SELECT record_id, subset, 'fasttext_preselect_score', s2 FROM records WHERE s2 IS NOT NULL),
+scored AS (
+  SELECT t.target_id, l.record_id, l.value, CAST(t.target_fraction AS DECIMAL(20, 12)) AS goal,
+         count(*) OVER (PARTITION BY t.target_id ORDER BY l.value DESC) AS n_from,
+         count(*) OVER (PARTITION BY t.target_id) AS n_group
+  FROM keep_targets t JOIN long l ON coalesce(t.subset, 'unknown') = l.subset AND t.score_name = l.score_name),
+cut AS (
+  SELECT target_id, max(value) AS cutoff, min(n_from) AS n_kept, max(n_group) AS n_counted
+  FROM scored WHERE n_from >= goal * CAST(n_group AS DECIMAL(18, 0)) GROUP BY 1)
+"""
+
+_SHARES = """
+WITH rows AS (
+  SELECT record_id, max(CASE WHEN NOT isnan(fineweb_edu_classifier_score) THEN fineweb_edu_classifier_score END) AS s0,
+         max(CASE WHEN NOT isnan(fasttext_eli5_score) THEN fasttext_eli5_score END) AS s1,
+         max(CASE WHEN NOT isnan(fasttext_preselect_score) THEN fasttext_preselect_score END) AS s2
+  FROM classify GROUP BY 1),
+shares AS (
+  SELECT record_id, list_sort([
+    CASE WHEN s0 IS NULL THEN 0.0::DOUBLE ELSE (rank() OVER (PARTITION BY s0 IS NULL ORDER BY s0) - 1 + count(*) OVER (PARTITION BY s0) / 2) / count(*) OVER (PARTITION BY s0 IS NULL) END,
+    CASE WHEN s1 IS NULL THEN 0.0::DOUBLE ELSE (rank() OVER (PARTITION BY s1 IS NULL ORDER BY s1) - 1 + count(*) OVER (PARTITION BY s1) / 2) / count(*) OVER (PARTITION BY s1 IS NULL) END,
+    CASE WHEN s2 IS NULL THEN 0.0::DOUBLE ELSE (rank() OVER (PARTITION BY s2 IS NULL ORDER BY s2) - 1 + count(*) OVER (PARTITION BY s2) / 2) / count(*) OVER (PARTITION BY s2 IS NULL) END]) AS vector
+  FROM rows)
+"""
+
+ORACLE_SQL = {
+    "p5_found": _KEPT + "SELECT s.target_id, s.record_id FROM scored s JOIN cut c USING (target_id) WHERE s.value >= c.cutoff",
+    "p5_cutoffs": _KEPT
+    + """SELECT t.target_id, coalesce(t.subset, 'unknown') AS subset, t.score_name, t.target_fraction,
+                coalesce(c.n_counted, 0) AS n_counted, c.cutoff, coalesce(c.n_kept, 0) AS n_kept
+         FROM keep_targets t LEFT JOIN cut c USING (target_id)""",
+    "p4_found": _SHARES
+    + """SELECT list_id, record_id FROM (
+           SELECT l.list_id, s.record_id, row_number() OVER (PARTITION BY l.list_id ORDER BY s.vector DESC, s.record_id) AS place
+           FROM (SELECT DISTINCT list_id, record_id FROM review_lists) l JOIN shares s USING (record_id)) WHERE place = 1""",
+    "p4_ranking": _SHARES + "SELECT record_id, vector, rank() OVER (ORDER BY vector DESC) AS position FROM shares",
+}

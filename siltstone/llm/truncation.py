@@ -93,7 +93,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     )
     # The final occurrence of a text itself counts as terminal and is taken off again.
     judged = sql(
-        f"""
+        rf"""
         WITH known AS (
           SELECT k.a, k.b, k.c,
                  t.n - 1 AS n, t.ends - 1 AS ends, p.n - 1 AS pair_n, p.ends - 1 AS pair_ends,
