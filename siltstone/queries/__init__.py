@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import drift
+from . import drift, quality, records, shuffle
 
-MODULES = [drift]
+MODULES = [drift, quality, records, shuffle]
 
 
 def queries() -> dict:
