@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import drift, quality, records, shuffle
+from . import drift, files, quality, records, shuffle
 
-MODULES = [drift, quality, records, shuffle]
+MODULES = [drift, files, quality, records, shuffle]
 
 
 def queries() -> dict:
