@@ -47,7 +47,7 @@ def fit(records: DataFrame, key: str = "record_id", text: str = "text", label: s
     counts behind its rate come from all records.  As labels may be wrong, a
     first model relabels the sentences of the sample, and the second is fitted
     on those that agree with their record's label.  A language without labelled
-    records can't be recognised.
+    records can't be recognised, and without any such record no text has a language.
     """
     labelled = records.select(F.col(key).alias("key"), F.col(text).alias("text"), normalized(F.col(f"`{label}`")).alias("lang"))
     labelled = labelled.filter("lang is not null and text is not null and text != ''")
@@ -108,7 +108,7 @@ def _segments(model: ppm.Model, texts: list, min_bits: float, min_word_bits: flo
         layout = segment.Layout(texts[a:b])
         lines = model.sentences(layout)
         text, bits = lines["text"], lines["bits"]
-        if not len(text):
+        if not len(text) or not model.trained.any():
             continue
         total = np.zeros((b - a, bits.shape[1]))
         np.add.at(total, text, bits)
@@ -139,7 +139,7 @@ def segments(records: DataFrame, model: ppm.Model, key: str = "record_id", text:
     start and end are offsets in characters; a segment is a maximal run of
     sentences of one language, and main says whether that is the language of most of the text.  A
     sentence leaves the text's language only if another one codes it with far
-    fewer bits, so a borrowed phrase or a name changes nothing.  Null, empty and
+    fewer bits, so a borrowed phrase or a name changes nothing.  Null, blank and
     wordless texts have no segments; repeated rows have theirs each.
     """
     shared = records.sparkSession.sparkContext.broadcast(model)

@@ -14,6 +14,7 @@ once per worker: a sentence is a sum over rows of that table.
 
 from __future__ import annotations
 
+import bisect
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -25,11 +26,15 @@ CACHE_LIMIT = 400_000  # distinct words kept per worker
 KEPT_WORD = 40
 
 
+UNTRAINED = 1e6  # bits of any word under a language without training words
+
+
 class Model:
     """Frozen code lengths, in bits, of each (context + byte) per language."""
 
-    def __init__(self, languages: list[str], keys: list[bytes], bits: np.ndarray, contexts: list[bytes], escapes: np.ndarray):
+    def __init__(self, languages: list[str], keys: list[bytes], bits: np.ndarray, contexts: list[bytes], escapes: np.ndarray, trained: np.ndarray):
         self.languages = list(languages)
+        self.trained = trained
         self.keys, self.bits = keys, bits
         self.contexts, self.escapes = contexts, escapes
         self._index = self._escape = None
@@ -64,6 +69,7 @@ class Model:
                     total += 8.0  # unseen byte: one of 256
                     break
                 low += 1
+        total[~self.trained] = UNTRAINED
         return total
 
     def _word_rows(self, words: list[str]) -> np.ndarray:
@@ -110,7 +116,7 @@ class Model:
 
 
 def train(counts: dict[str, dict[str, int]], languages: list[str]) -> Model:
-    """Model from word counts per language; a language without words codes 8 bits a byte."""
+    """Model from word counts per language; one without words is never the best."""
     seen = [Counter() for _ in languages]
     for table, language in zip(seen, languages):
         for word, n in counts.get(language, {}).items():
@@ -136,21 +142,18 @@ def train(counts: dict[str, dict[str, int]], languages: list[str]) -> Model:
     keys = sorted(union, key=lambda k: (len(k), k))
     row = {k: i for i, k in enumerate(keys)}
     bits = np.zeros((len(keys), size))
-    for length in sorted({len(k) for k in keys}):
-        own = [i for i in range(len(keys)) if len(keys[i]) == length] if len(keys) < 64 else range(*_span(keys, length))
-        own = list(own)
+    lengths = [len(k) for k in keys]
+    for length in sorted(set(lengths)):
+        own = list(range(*_span(lengths, length)))
         n = np.array([union[keys[i]] for i in own])
         at = np.array([place[keys[i][:-1]] for i in own])
         shorter = np.full((len(own), size), 8.0) if length == 1 else bits[[row[keys[i][1:]] for i in own]]
         with np.errstate(divide="ignore", invalid="ignore"):
             direct = -np.log2(n / (total[at] + kinds[at]))
         bits[own] = np.where(n > 0, direct, escapes[at] + shorter)
-    return Model(languages, keys, bits.astype(np.float32), contexts, escapes.astype(np.float32))
+    return Model(languages, keys, bits.astype(np.float32), contexts, escapes.astype(np.float32), np.array([bool(t) for t in seen], dtype=bool))
 
 
-def _span(keys: list[bytes], length: int) -> tuple[int, int]:
-    """Range of the keys of one length in a list sorted by length."""
-    import bisect
-
-    lengths = [len(k) for k in keys]
+def _span(lengths: list[int], length: int) -> tuple[int, int]:
+    """Range of one length in a sorted list."""
     return bisect.bisect_left(lengths, length), bisect.bisect_right(lengths, length)

@@ -27,13 +27,14 @@ def ids(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabular
 def counts(documents: DataFrame, text: str = "text", vocabulary: str = bpe.BYTE_BPE_50K, folder: str = bpe.VOCABULARY_DIR) -> DataFrame:
     """The columns of documents with n_tokens in place of the text; 0 for null and empty texts."""
     others = [c for c in documents.columns if c not in (text, "n_tokens")]
+    body = "_text" + "_" * sum(c.startswith("_text") for c in others)
 
     def count(batch: pa.RecordBatch) -> dict:
-        number = bpe.load(vocabulary, folder).count(texts_of(batch, "_text"))
+        number = bpe.load(vocabulary, folder).count(texts_of(batch, body))
         return {**{c: batch.column(c) for c in others}, "n_tokens": pa.array(number, pa.int64())}
 
     schema = "".join(f"`{c}` {documents.schema[c].dataType.simpleString()}, " for c in others) + "n_tokens bigint"
-    source = documents.select(*[f"`{c}`" for c in others], F.col(f"`{text}`").alias("_text"))
+    source = documents.select(*[f"`{c}`" for c in others], F.col(f"`{text}`").alias(body))
     return map_texts(source, count, schema)
 
 
