@@ -83,11 +83,11 @@ def _refuse(name: str):
 
 
 def fields(record: dict) -> dict:
-    """Fields of a record; an object under ``meta`` is opened and is no field itself."""
+    """Fields of a record; an object (or null) under ``meta`` is opened and is no field itself."""
     out = {}
     for key, value in record.items():
-        if key == "meta" and isinstance(value, dict):
-            out.update((f"meta.{k}", v) for k, v in value.items())
+        if key == "meta" and (value is None or isinstance(value, dict)):
+            out.update((f"meta.{k}", v) for k, v in (value or {}).items())
         else:
             out[key] = value
     return out
