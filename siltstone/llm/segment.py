@@ -30,6 +30,7 @@ WHITE_SPACE = (
 )
 # Marks that end a sentence when white space or a line end follows.
 SENTENCE_END = ".!?…。！？"
+HEADING_DASH = 0x2014
 CLOSING = "\"'”’»)]"
 LINE_END = "\n\r\x0b\x0c\x85\u2028\u2029"
 
@@ -106,7 +107,8 @@ class Layout:
 
     def sentence_starts(self) -> np.ndarray:
         """Sorted first positions of sentences: text starts, places after line
-        ends, and places after a closing mark with white space behind it."""
+        ends, places after a closing mark with white space behind it, and the
+        dash that sets off a text's heading in its first line."""
         signs = np.flatnonzero((self.cls == SPACE) | (self.cls == OTHER))
         code, n = self.code, len(self.code)
         sign = code[signs]
@@ -117,4 +119,11 @@ class Layout:
         real = after[self.cls[after] == SPACE]
         flags = np.zeros(n, dtype=bool)
         flags[self.text_start] = flags[ends + 1] = flags[real] = True
-        return np.flatnonzero(flags)
+        starts = np.flatnonzero(flags)
+        dash = signs[(sign == HEADING_DASH) & (self.cls[np.minimum(signs + 1, n - 1)] == SPACE)]
+        if len(dash):
+            text, first = np.unique(self.text_of(dash), return_index=True)
+            dash = dash[first]
+            heading = starts[np.searchsorted(starts, dash, side="right") - 1] == self.text_start[text]
+            starts = np.union1d(starts, dash[heading])
+        return starts

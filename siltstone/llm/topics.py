@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from . import segment
 from .batches import map_texts, texts_of
 
-SAMPLE = 20_000  # labelled records that the factorisation is fitted on, about half of them fully labelled
+SAMPLE = 60_000  # labelled records that the factorisation is fitted on, up to half of them fully labelled
 TERMS = 60_000  # terms of the sample that are kept, most frequent first; bounds the model
 ALTERNATIONS = 2
 EXCESS = 2.0  # a subject's seed has a term's share above so many times the average share
-SMOOTHING = 0.5
-MIN_WORDS = 0.6  # a sentence is about a subject if so many of its words come from that component
+SMOOTHING = 0.3
+MIN_WORDS = 0.55  # a sentence is about a subject if so many of its words come from that component
 MIN_SHARE = 0.6  # ... and so large a part of all that come from subjects
 MIN_SENTENCES = 2
 
@@ -71,7 +71,7 @@ def _lines(texts: list) -> tuple[segment.Layout, np.ndarray, np.ndarray, list[st
 def _sample(records: DataFrame, labels: DataFrame, key: str, text: str, hint: str, areas: list[int], size: int) -> DataFrame:
     """(text, areas, full): bounded labelled rows, by hash of the key.
 
-    Half of the size goes to records with complete labels, the other half to
+    Up to half of the size goes to records with complete labels, the rest to
     records with the single, sometimes wrong, class id.
     """
     share = F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) / float(1 << 20)
@@ -80,7 +80,7 @@ def _sample(records: DataFrame, labels: DataFrame, key: str, text: str, hint: st
     full = full.filter(share < min(1.0, size / 2 / max(1, n_full))).groupBy("_key").agg(F.collect_set("topic_id").alias("_full"))
     rows = records.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.col(hint).cast("bigint").alias("_hint"))
     n_hint = rows.filter(F.col("_hint").isin(areas)).count()
-    hinted = F.col("_hint").isin(areas) & (share < min(1.0, size / 2 / max(1, n_hint)))
+    hinted = F.col("_hint").isin(areas) & (share < min(1.0, (size - min(n_full, size / 2)) / max(1, n_hint)))
     # `full` has at most about size / 2 rows of a few numbers each.
     rows = rows.filter("text is not null and text != ''").join(F.broadcast(full), "_key", "left").filter(F.col("_full").isNotNull() | hinted)
     return rows.select("text", F.coalesce("_full", F.array("_hint")).alias("areas"))
