@@ -136,7 +136,7 @@ def segments(records: DataFrame, model: ppm.Model, key: str = "record_id", text:
              min_bits: float = FOREIGN_BITS, min_word_bits: float = FOREIGN_BITS_PER_WORD) -> DataFrame:
     """(key, segment, start, end, lang, confidence, main): the segments of each row's text.
 
-    start and end are offsets in characters; a segment is a maximal run of
+    start and end are offsets in characters, between segments lie wordless signs only; a segment is a maximal run of
     sentences of one language, and main says whether that is the language of most of the text.  A
     sentence leaves the text's language only if another one codes it with far
     fewer bits, so a borrowed phrase or a name changes nothing.  Null, blank and

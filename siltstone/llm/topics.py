@@ -23,7 +23,7 @@ from .batches import map_texts, texts_of
 SAMPLE = 60_000  # labelled records that the factorisation is fitted on, up to half of them fully labelled
 TERMS = 60_000  # terms of the sample that are kept, most frequent first; bounds the model
 ALTERNATIONS = 2
-EXCESS = 2.0  # a subject's seed has a term's share above so many times the average share
+EXCESS = 2.0  # a subject's seed has a term's share above so many times its average share in the other subjects
 SMOOTHING = 0.3
 MIN_WORDS = 0.55  # a sentence is about a subject if so many of its words come from that component
 MIN_SHARE = 0.6  # ... and so large a part of all that come from subjects
@@ -113,8 +113,8 @@ def _seed(sample: DataFrame, areas: list[int]) -> tuple[Factor, tuple]:
     if not terms:
         return Factor([], np.zeros((0, len(areas) + 1))), ([], counts)
     share = counts[:, :-1] / np.maximum(counts[:, :-1].sum(axis=0, keepdims=True), 1e-9)
-    common = share.mean(axis=1, keepdims=True)
-    h = np.hstack([np.maximum(share - EXCESS * common, 0), common])
+    others = (share.sum(axis=1, keepdims=True) - share) / max(1, len(areas) - 1)
+    h = np.hstack([np.maximum(share - EXCESS * others, 0), share.mean(axis=1, keepdims=True)])
     return Factor(terms, h / np.maximum(h.sum(axis=0, keepdims=True), 1e-9)), (terms, counts)
 
 
