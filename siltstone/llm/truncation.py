@@ -32,8 +32,14 @@ MAX_TERMINAL_RARE = 0.02  # ... and the part of them that may be terminal
 # What cutting systems put at the end.
 HARD_MARKS = r"(\s*(\.\.\.|…)?\s*([\[(]\s*(read more|more|continue reading|truncated)\s*[\])]|(?<=(\.\.\.|…)\s?)(read more|more|continue reading))|…|<!--[^>]*(-->)?|\x{FFFD}+|(?-i:&(#[0-9x]{0,6}|[a-z]{0,7})))\s*$"
 SOFT_MARK = r"\.\.\.\s*$"
-# Words (a number counts as the word 0), signs inside sentences, list signs, sentence marks, line ends.
-TOKENS = r"[\p{L}\p{M}0]+|[,;]|[-–—*•>|→]+(?=\s|$)|[.!?…](?=[\s\"”’)\]]|$)|[\n\r]+"
+MARK_CHARS = 200  # marks are looked for in so many last characters; what is longer is text
+LAST_CHARS = 1_000  # the last three tokens are read from so many; longer ones count as unknown
+# Words and numbers, signs inside sentences, list signs, sentence marks, line ends.
+TOKENS = r"[\p{L}\p{M}\p{N}]+|[,;]|[-–—*•>|→]+(?=\s|$)|[.!?…](?=[\s\"”’)\]]|$)|[\n\r]+"
+
+_WORDS = """transform(regexp_extract_all(translate(lower({body}), '123456789', '000000000'), :tokens, 0),
+                         t -> CASE left(t, 1) WHEN '0' THEN '0' WHEN '.' THEN '.' WHEN '!' THEN '.' WHEN '?' THEN '.' WHEN '…' THEN '.'
+                                   WHEN char(10) THEN '/' WHEN char(13) THEN '/' ELSE t END)"""
 
 
 def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -41,21 +47,19 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     spark = documents.sparkSession
     sql = spark.sql
     docs = documents.select(F.col(key).alias("_key"), F.col(source).alias("source"), F.col(text).alias("text"))
-    lines = sql(
-        """
+    tokens = {"tokens": TOKENS}
+    marks = {"hard": "(?i)" + HARD_MARKS, "soft": SOFT_MARK, "wordy": r"[\p{L}\p{N}]"}
+    bodies = sql(
+        f"""
         SELECT _key, source, hard, soft,
-               transform(regexp_extract_all(regexp_replace(lower(body), :number, '0'), :tokens, 0),
-                         t -> CASE WHEN t RLIKE :mark THEN '.' WHEN t RLIKE :turn THEN '/' ELSE t END) AS w
-        FROM (SELECT _key, source, text RLIKE :hard AS hard, text RLIKE :soft AS soft,
-                     regexp_replace(regexp_replace(text, :hard, ''), :soft, '') AS body
-              FROM {docs} WHERE text RLIKE :wordy)
+               concat(left(text, greatest(length(text) - {MARK_CHARS}, 0)), regexp_replace(regexp_replace(tail, :hard, ''), :soft, '')) AS body
+        FROM (SELECT _key, source, text, tail, tail RLIKE :hard AS hard, tail RLIKE :soft AS soft
+              FROM (SELECT *, right(text, {MARK_CHARS}) AS tail FROM {{docs}} WHERE text RLIKE :wordy))
         """,
-        {
-            "number": r"\p{N}+", "tokens": TOKENS, "mark": "^[.!?…]", "turn": r"^[\n\r]", "hard": "(?i)" + HARD_MARKS,
-            "soft": SOFT_MARK, "wordy": r"[\p{L}\p{N}]",
-        },
+        marks,
         docs=docs,
-    )
+    )
+    lines = sql(f"SELECT {_WORDS.replace('{body}', 'body')} AS w FROM {{bodies}}", tokens, bodies=bodies)
     # One row a word; equal trigrams are summed before they are shuffled.
     trigrams = sql(
         """
@@ -71,13 +75,14 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     )
     trigrams = materialize(trigrams, "trigrams")
     final = sql(
-        """
+        f"""
         SELECT _key, source, hard, soft,
                if(size(w) > 2, w[size(w) - 3], '/') AS a, if(size(w) > 1, w[size(w) - 2], '/') AS b,
                if(size(w) > 0, w[size(w) - 1], '.') AS c
-        FROM {lines}
+        FROM (SELECT _key, source, hard, soft, {_WORDS.replace('{body}', f'right(body, {LAST_CHARS})')} AS w FROM {{bodies}})
         """,
-        lines=lines,
+        tokens,
+        bodies=bodies,
     )
     final = materialize(final, "final")
     keys = sql("SELECT DISTINCT a, b, c FROM {final} WHERE c NOT IN ('.', '/')", final=final)
