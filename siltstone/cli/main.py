@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("source"), r.add_argument("--target"), r.add_argument("--keep-bad-columns", action="store_true")
     i = sub.add_parser("inspect", help="print one record or a selection of it")
     i.add_argument("source"), i.add_argument("selector", nargs="?"), i.add_argument("-i", "--index", type=int), i.add_argument("--seed", type=int, default=0)
+    i.add_argument("--eos", type=int, help="end id of token files")
     i.add_argument("--full", action="store_true", help="don't shorten texts and lists")
     return top
 
@@ -103,11 +104,10 @@ def run_inspect(args) -> int:
     if path.endswith(".ds"):
         if args.index is not None:
             raise ValueError("token files can't be read by index")
-        name, size, _ = token_files.metadata(path)
-        if name is None:
-            raise ValueError("the token file has no metadata")
-        with open(path, "rb") as f:
-            print(token_files.decode_ids(f.read(1 << 16), size).tolist()[:200])
+        if args.eos is None:
+            raise ValueError("a token file needs --eos, the id that ends a document")
+        for row in token_files.records(spark, path, args.eos).orderBy("doc_index").collect():  # the first ten
+            print(json.dumps(row.asDict()))
         return 0
     number, record = _record(spark, path, args.index, args.seed)
     out = {}
@@ -120,15 +120,33 @@ def run_inspect(args) -> int:
     else:
         out = dict(record) if isinstance(record, dict) else {"data": record}
     out |= {"filename": path} | ({} if number is None else {"line_number": number})
-    for where, value in selector.leaves(out):
-        if not args.full and "[" in where and any(p[1:-1].isdigit() and int(p[1:-1]) >= MAX_ITEMS for p in where.split(".") if p.startswith("[")):
-            continue
-        if isinstance(value, str) and not args.full:
+    for where, value in selector.leaves(out if args.full else _shortened(out)):
+        if isinstance(value, _Rest):
+            where = ".".join([*where.split(".")[:-1], "[...]"])
+        elif isinstance(value, str) and not args.full:
             value = spark.range(1).select(truncate_text(F.lit(value)).alias("t")).first()["t"]
         print(f"{where}\n{value}")
     return 0
 
 
+class _Rest:
+    """What a shortened list leaves out."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def __str__(self) -> str:
+        return f"… [truncated array: {self.size} items; showing first {MAX_ITEMS}, omitted {self.size - MAX_ITEMS}]"
+
+
+def _shortened(value):
+    if isinstance(value, dict):
+        return {k: _shortened(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_shortened(v) for v in value[:MAX_ITEMS]] + ([_Rest(len(value))] if len(value) > MAX_ITEMS else [])
+    return value
+
+
 def _record(spark, path: str, index: int | None, seed: int):
     if path.endswith(".parquet"):
         df = spark.read.parquet(path)

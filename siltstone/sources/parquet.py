@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -89,6 +91,38 @@ def head(df: DataFrame, rows: int = 2_000) -> DataFrame:
     return with_row_number(df).filter(F.col("line_number") < rows)
 
 
+def sample_group(spark: SparkSession, path: str, seed: int = 0, rows: int = 2_000) -> DataFrame:
+    """The first rows of one row group of a file, chosen by seed, with their places in the file."""
+    import pyarrow.parquet as pq
+
+    meta = pq.read_metadata(path)
+    sizes = [meta.row_group(g).num_rows for g in range(meta.num_row_groups)]
+    group = min(range(len(sizes)), key=lambda g: hashlib.md5(f"{seed}:{g}".encode()).hexdigest(), default=0)
+    start = sum(sizes[:group])
+    size = min(rows, sizes[group]) if sizes else 0
+    numbered = with_row_number(spark.read.parquet(path))
+    return numbered.filter((F.col("line_number") >= start) & (F.col("line_number") < start + size))
+
+
+def write_npy(df: DataFrame, column: str, folder: str) -> None:
+    """One ``part-NNNNN.npy`` per non-empty partition with a column's values, in a folder that all executors share."""
+
+    def save(batches):
+        import numpy as np
+        from pyspark import TaskContext
+
+        values = [v for b in batches for v in b[column]]
+        if values:
+            path = os.path.join(folder, f"part-{TaskContext.get().partitionId():05d}.npy")
+            with open(f"{path}.tmp", "wb") as f:
+                np.save(f, np.array(values))
+            os.replace(f"{path}.tmp", path)
+        yield pd.DataFrame({"n": [len(values)]})
+
+    os.makedirs(folder, exist_ok=True)
+    df.select(column).mapInPandas(save, "n bigint").agg(F.sum("n")).collect()  # one number
+
+
 def sample_one(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """One row, uniform over rows and the same for any partitioning: the least hash of seed and key."""
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), F.col(f"`{key}`")).limit(1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,10 +22,10 @@ def metadata(path: str) -> tuple[str | None, int, int | None]:
             rows = f.read().splitlines()
     except OSError:
         return None, 2, None
-    if len(rows) < 2 or "|" not in rows[0]:
+    if len(rows) < 2:
         return None, 2, None
-    name, _, size = rows[0].partition("|")
-    return name.strip(), int(size), int(rows[1]) if rows[1].strip().isdigit() else None
+    name, *size = rows[0].strip().split("|")
+    return name or None, int(size[0]) if size else 2, int(rows[1]) if rows[1].strip().isdigit() else None
 
 
 def decode_ids(content: bytes, size: int) -> np.ndarray:
@@ -61,6 +61,29 @@ def read(spark: SparkSession, path: str, eos: int, first: int | None = None) ->
     return files.mapInPandas(run, "file string, doc_index int, tokens array<bigint>")
 
 
+def records(spark: SparkSession, path: str, eos: int, decoder: Callable[[], Callable[[list[int]], str]] | None = None, first: int = 10) -> DataFrame:
+    """The first documents of one token file with its metadata and decoded text.
+
+    decoder makes a function from ids to text, once per worker; without one the
+    text is null.  ValueError if the file names no tokenizer.
+    """
+    name, size, count = metadata(path)
+    if name is None:
+        raise ValueError("the token file has no metadata")
+    docs = read(spark, path, eos, first)
+
+    @F.pandas_udf("string")
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        decode = decoder()
+        for tokens in batches:
+            yield tokens.map(lambda ids: decode([int(i) for i in ids]))
+
+    return docs.select(
+        F.lit(path).alias("filename"), F.lit(name).alias("tokenizer"), F.lit(size).alias("token_size"), F.lit(count).cast("bigint").alias("token_count"),
+        "doc_index", "tokens", (text("tokens") if decoder else F.lit(None).cast("string")).alias("decoded"),
+    )
+
+
 def write(path: str, ids, size: int, tokenizer: str) -> None:
     """A token file and its metadata."""
     values = np.asarray(ids, dtype=f"<u{size}")

@@ -128,6 +128,18 @@ def test_token_files(spark, tmp_path, size):
     assert got == [[5, 6, 0], [7, 0], [8]]
     assert token_files.read(spark, path, 0, first=2).count() == 2
     assert token_files.metadata(str(tmp_path / "none.ds")) == (None, 2, None)
-    os.remove(path)
+    rows = token_files.records(spark, path, 0, lambda: lambda ids: "-".join(map(str, ids)), 2).orderBy("doc_index").collect()
+    assert [r["decoded"] for r in rows] == ["5-6-0", "7-0"] and (rows[0]["tokenizer"], rows[0]["token_count"]) == ("tok", 6)
+    os.remove(f"{path}.metadata")
+    with pytest.raises(ValueError):
+        token_files.records(spark, path, 0)
+
+
+def test_row_group_sample_and_arrays(spark, tmp_path):
+    pq.write_table(pa.table({"k": list(range(30))}), str(tmp_path / "g.parquet"), row_group_size=10)
+    got = sorted(r["line_number"] for r in parquet.sample_group(spark, str(tmp_path / "g.parquet"), 3, 4).collect())
+    assert len(got) == 4 and got[0] % 10 == 0 and got == list(range(got[0], got[0] + 4))
+    parquet.write_npy(spark.range(20).coalesce(2), "id", str(tmp_path / "npy"))
+    assert sorted(int(v) for f in (tmp_path / "npy").iterdir() for v in np.load(f)) == list(range(20))
 
 
