@@ -32,14 +32,13 @@ MAX_TERMINAL_RARE = 0.02  # ... and the part of them that may be terminal
 # What cutting systems put at the end.
 HARD_MARKS = r"(\s*(\.\.\.|…)?\s*([\[(]\s*(read more|more|continue reading|truncated)\s*[\])]|(?<=(\.\.\.|…)\s?)(read more|more|continue reading))|…|<!--[^>]*(-->)?|\x{FFFD}+|(?-i:&(#[0-9x]{0,6}|[a-z]{0,7})))\s*$"
 SOFT_MARK = r"\.\.\.\s*$"
-MARK_CHARS = 200  # marks are looked for in so many last characters; what is longer is text
-LAST_CHARS = 1_000  # the last three tokens are read from so many; longer ones count as unknown
-# Words and numbers, signs inside sentences, list signs, sentence marks, line ends.
-TOKENS = r"[\p{L}\p{M}\p{N}]+|[,;]|[-–—*•>|→]+(?=\s|$)|[.!?…](?=[\s\"”’)\]]|$)|[\n\r]+"
-
-_WORDS = """transform(regexp_extract_all(translate(lower({body}), '123456789', '000000000'), :tokens, 0),
-                         t -> CASE left(t, 1) WHEN '0' THEN '0' WHEN '.' THEN '.' WHEN '!' THEN '.' WHEN '?' THEN '.' WHEN '…' THEN '.'
-                                   WHEN char(10) THEN '/' WHEN char(13) THEN '/' ELSE t END)"""
+MARK_CHARS = 64  # marks are looked for in so many last characters; what is longer is text
+LAST_CHARS = 300  # the last three tokens are read from so many; a longer one counts as unknown
+# Words (numbers of equally many digits are one), signs inside sentences, list signs, sentence marks, line ends.
+TOKENS = r"[\p{L}\p{M}\p{N}]+|[,;]|[-–—*•>|→]+(?=\s|$)|[.](?=[\s\"”’)\]]|$)|\n(?!\n)"
+# Signs that count as one, by place in the two strings.
+LINE = "\n"
+FROM, TO = "123456789!?…\r", "000000000...\n"
 
 
 def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -47,45 +46,46 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     spark = documents.sparkSession
     sql = spark.sql
     docs = documents.select(F.col(key).alias("_key"), F.col(source).alias("source"), F.col(text).alias("text"))
-    tokens = {"tokens": TOKENS}
-    marks = {"hard": "(?i)" + HARD_MARKS, "soft": SOFT_MARK, "wordy": r"[\p{L}\p{N}]"}
+    tokens = {"tokens": TOKENS, "from": FROM, "to": TO}
+    words = lambda text: f"regexp_extract_all(translate(lower({text}), :from, :to), :tokens, 0)"
     bodies = sql(
         f"""
-        SELECT _key, source, hard, soft,
-               concat(left(text, greatest(length(text) - {MARK_CHARS}, 0)), regexp_replace(regexp_replace(tail, :hard, ''), :soft, '')) AS body
-        FROM (SELECT _key, source, text, tail, tail RLIKE :hard AS hard, tail RLIKE :soft AS soft
-              FROM (SELECT *, right(text, {MARK_CHARS}) AS tail FROM {{docs}} WHERE text RLIKE :wordy))
+        SELECT _key, source, length(plain) < length(tail) AS hard, length(bare) < length(plain) AS soft,
+               concat(left(text, greatest(length(text) - {MARK_CHARS}, 0)), bare) AS body
+        FROM (SELECT *, regexp_replace(plain, :soft, '') AS bare
+              FROM (SELECT *, regexp_replace(tail, :hard, '') AS plain
+                    FROM (SELECT *, right(text, {MARK_CHARS}) AS tail FROM {{docs}} WHERE text RLIKE :wordy)))
         """,
-        marks,
+        {"hard": "(?i)" + HARD_MARKS, "soft": SOFT_MARK, "wordy": r"[\p{L}\p{N}]"},
         docs=docs,
     )
-    lines = sql(f"SELECT {_WORDS.replace('{body}', 'body')} AS w FROM {{bodies}}", tokens, bodies=bodies)
     # One row a word; equal trigrams are summed before they are shuffled.
     trigrams = sql(
-        """
-        SELECT g.a, g.b, g.c, count(*) AS n, count_if(g.next IN ('', '.', '/')) AS ends
-        FROM (SELECT explode(transform(w, (c, i) -> struct(
-                       if(i > 1, w[i - 2], '/') AS a, if(i > 0, w[i - 1], '/') AS b, c AS c,
-                       if(i + 1 < size(w), w[i + 1], '') AS next))) AS g
-              FROM {lines})
-        WHERE g.c NOT IN ('.', '/')
+        f"""
+        SELECT a, b, c, count(*) AS n, count_if(next IN ('', '.', :line)) AS ends
+        FROM (SELECT inline(arrays_zip(a, b, c, next)) AS (a, b, c, next)
+              FROM (SELECT slice(concat(array(:line, :line), w), 1, size(w)) AS a, slice(concat(array(:line), w), 1, size(w)) AS b, w AS c,
+                           concat(slice(w, 2, greatest(size(w) - 1, 0)), array('')) AS next
+                    FROM (SELECT {words('body')} AS w FROM {{bodies}}) WHERE size(w) > 0))
+        WHERE c NOT IN ('.', :line)
         GROUP BY 1, 2, 3
         """,
-        lines=lines,
+        tokens | {"line": LINE},
+        bodies=bodies,
     )
     trigrams = materialize(trigrams, "trigrams")
     final = sql(
         f"""
         SELECT _key, source, hard, soft,
-               if(size(w) > 2, w[size(w) - 3], '/') AS a, if(size(w) > 1, w[size(w) - 2], '/') AS b,
+               if(size(w) > 2, w[size(w) - 3], :line) AS a, if(size(w) > 1, w[size(w) - 2], :line) AS b,
                if(size(w) > 0, w[size(w) - 1], '.') AS c
-        FROM (SELECT _key, source, hard, soft, {_WORDS.replace('{body}', f'right(body, {LAST_CHARS})')} AS w FROM {{bodies}})
+        FROM (SELECT _key, source, hard, soft, {words(f'right(body, {LAST_CHARS})')} AS w FROM {{bodies}})
         """,
-        tokens,
+        tokens | {"line": LINE},
         bodies=bodies,
     )
     final = materialize(final, "final")
-    keys = sql("SELECT DISTINCT a, b, c FROM {final} WHERE c NOT IN ('.', '/')", final=final)
+    keys = sql("SELECT DISTINCT a, b, c FROM {final} WHERE c NOT IN ('.', :line)", {"line": LINE}, final=final)
     begun = sql(  # longer words after the same two words, by each of their beginnings
         """
         SELECT a, b, p AS c, sum(n) AS n, sum(n - ends) AS inner_n
@@ -114,7 +114,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         SELECT a, b, c,
                n - ends >= {MIN_INNER} AND ends <= {MAX_TERMINAL} * n AS goes_on,
                n - ends <= 0.01 * begun_n AND ends <= 0.1 * begun_n AND begun_n >= 2 AND begun_inner >= 1 AS half_word,
-               n < {MIN_INNER} AND b != '/' AND (
+               n < {MIN_INNER} AND b != :line AND (
                  CASE WHEN pair_n >= {MIN_PAIR} THEN pair_ends <= {MAX_TERMINAL_RARE} * pair_n AND word_ends <= {MAX_TERMINAL} * word_n
                       WHEN word_n >= {MIN_WORD} AND word_ends <= 0.01 * word_n THEN true
                       ELSE a RLIKE r'^\p{{{{L}}}}' AND b RLIKE r'^\p{{{{L}}}}'
@@ -123,6 +123,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
                n >= 2 AND ends >= 0.5 * n AS stops
         FROM known
         """,
+        {"line": LINE},
         keys=keys, trigrams=trigrams, begun=begun,
     )
     out = sql(
