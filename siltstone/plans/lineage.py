@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -42,6 +43,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """df as a broadcast side if it has at most so many rows, checked by running it.
+
+    Beyond that df itself is returned, and the join shuffles both sides.
+    """
+    found = df.limit(rows + 1).collect()
+    if len(found) > rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
+
+
 @atexit.register
 def _clean() -> None:
     while _written:
