@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import cumulative
-from ..plans.lineage import materialize
+from ..plans.lineage import broadcast_if_small, materialize
 
 TILT = 0.5  # how strongly sources that are repeated move to the end; 0 keeps all weights constant
 
@@ -51,7 +51,7 @@ def draws(sized: DataFrame, targets: DataFrame, tilt: float = TILT, key: str = "
         F.explode(F.sequence(F.lit(0), F.least(F.col("max_repeats"), F.ceil(F.col("demand") / F.col("available"))).cast("int") - 1)).alias("pass"),
         "demand", "max_repeats",
     ).filter("max_repeats > 0")
-    drawn = laid.join(steps, "source").withColumn("_start", F.col("pass") * F.col("available") + F.col("n_before"))
+    drawn = laid.join(broadcast_if_small(steps), "source").withColumn("_start", F.col("pass") * F.col("available") + F.col("n_before"))
     drawn = drawn.filter(F.col("_start") < F.col("demand"))
     # A source that falls short is spread over the whole schedule.
     used = F.col("_start") / F.least(F.col("_demand"), (F.col("max_repeats") * F.col("available")).cast("double"))

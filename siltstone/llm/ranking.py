@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import cumulative
-from ..plans.lineage import materialize
+from ..plans.lineage import broadcast_if_small, materialize
 
 SCORES = ["fineweb_edu_classifier_score", "fasttext_eli5_score", "fasttext_preselect_score"]
 UNKNOWN = "unknown"
@@ -102,7 +102,7 @@ def kept(records: DataFrame, targets: DataFrame, key: str = "record_id", subset:
     """(target_id, key) of the records at or above the cutoff of each target."""
     scored, limits = _cutoffs(_scored(records, targets, key, subset), targets)
     limits = limits.select("target_id", "cutoff").filter("cutoff is not null")
-    return scored.join(limits, "target_id").filter("value >= cutoff").select("target_id", F.col("_key").alias(key))
+    return scored.join(broadcast_if_small(limits), "target_id").filter("value >= cutoff").select("target_id", F.col("_key").alias(key))
 
 
 def _scored(records: DataFrame, targets: DataFrame, key: str, subset: str) -> DataFrame:
@@ -113,7 +113,7 @@ def _scored(records: DataFrame, targets: DataFrame, key: str, subset: str) -> Da
     wanted = targets.select("target_id", group(F.col("subset")).alias("_subset"), "score_name").distinct()
     long = records.select(F.col(key).alias("_key"), group(F.col(subset)).alias("_subset"), pairs.alias("p"))
     long = long.select("_key", "_subset", "p.score_name", "p.value").filter("value is not null")
-    joined = long.join(wanted, ["_subset", "score_name"]).select("target_id", "_key", "value")
+    joined = long.join(broadcast_if_small(wanted), ["_subset", "score_name"]).select("target_id", "_key", "value")
     # A target with a third of all rows is spread by record, not by target.
     return joined.dropDuplicates(["target_id", "_key", "value"])
 

@@ -71,7 +71,7 @@ def wrong_counts(counted: DataFrame, given: str = "jais_token_count", factor: fl
     Texts that are null or empty are no cases; nor are languages without any
     sound row.
     """
-    known = rates(counted, given).select(F.col("lang").alias("_lang"), "rate")
+    known = F.broadcast(rates(counted, given).select(F.col("lang").alias("_lang"), "rate"))  # one row a language
     rows = counted.filter(f"has_text and {given} is not null")
     rows = rows.join(known, rows["lang"].eqNullSafe(F.col("_lang"))).withColumn("expected", F.col("n_tokens") * F.col("rate"))
     wrong = (F.col(given) * factor < F.col("expected")) | (F.col(given) > F.col("expected") * factor)
@@ -86,7 +86,7 @@ def budget(counted: DataFrame) -> DataFrame:
     once.  jais_tokens are the given counts where they are plausible, else the
     expected ones.  Null lang and domain are groups of their own.
     """
-    known = rates(counted).select(F.col("lang").alias("_lang"), "rate")
+    known = F.broadcast(rates(counted).select(F.col("lang").alias("_lang"), "rate"))  # one row a language
     rows = counted.join(known, counted["lang"].eqNullSafe(F.col("_lang")), "left")
     expected = F.col("n_tokens") * F.coalesce("rate", F.lit(1.0))
     given = F.col("jais_token_count")
