@@ -39,3 +39,13 @@ def test_empty(spark):
 def test_without_keys(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (3.0,)], "v double")
     assert sorted(map(tuple, cumulative(df, [], "v").collect())) == [(1.0, 2, 0, 3), (3.0, 1, 2, 3)]
+
+
+def test_size_checked_broadcast(spark):
+    from siltstone.plans.lineage import broadcast_if_small
+
+    df = spark.range(5)
+    plan = lambda side: spark.range(9).join(side, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert broadcast_if_small(df, 4) is df
+    assert "strategy=broadcast" in plan(broadcast_if_small(df, 5))
+    assert broadcast_if_small(df.limit(0)).count() == 0
