@@ -113,7 +113,8 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         )
         SELECT a, b, c,
                n - ends >= {MIN_INNER} AND ends <= {MAX_TERMINAL} * n AS goes_on,
-               n - ends <= 0.01 * begun_n AND ends <= 0.1 * begun_n AND begun_n >= 2 AND begun_inner >= 1 AS half_word,
+               n - ends <= 0.01 * begun_n AND ends <= 0.1 * begun_n AND begun_n >= 2
+                 AND (begun_inner >= 1 OR word_ends <= {MAX_TERMINAL} * word_n) AS half_word,
                n < {MIN_INNER} AND b != :line AND (
                  CASE WHEN pair_n >= {MIN_PAIR} THEN pair_ends <= {MAX_TERMINAL_RARE} * pair_n AND word_ends <= {MAX_TERMINAL} * word_n
                       WHEN word_n >= {MIN_WORD} AND word_ends <= 0.01 * word_n THEN true
