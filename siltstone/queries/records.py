@@ -191,3 +191,31 @@ ORACLE_SQL = {
     "jsonl_strict": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "jsonl_lenient": "SELECT feed, count(*) AS n FROM raw_lines WHERE json_valid(line) AND ltrim(line) LIKE '{%' GROUP BY 1",
 }
+
+
+def _adapter_sql(name: str, more: tuple[str, ...] = ()) -> str:
+    """The adapter's scalar rules over delivered lines, meta nested or flattened."""
+    adapter = next(a for a in adapters.ADAPTERS if a.name == name)
+    cells = ["feed", "file_no", "line_no"]
+    strict = {"text", "subset"} - set(adapter.columns)
+    for column in [*strict, *adapter.columns, *[c for c in more if c not in adapter.columns]]:
+        kind = "string" if column in strict else (adapter.rule(column) or ("string",))[0]
+        top = f"json_extract(line, '$.\"{column}\"')"
+        nested = f"json_extract(line, '$.meta.\"{column.removeprefix('meta.')}\"')" if column.startswith("meta.") else "NULL"
+        value = f"coalesce({nested}, {top})"
+        text, shape = f"json_extract_string({value}, '$')", f"json_type({value})"
+        if column in strict:
+            cell = f"CASE WHEN {shape} = 'VARCHAR' THEN {text} END"
+        elif kind == "double":
+            cell = f"CASE WHEN {shape} IN ('DOUBLE', 'BIGINT', 'UBIGINT') THEN CAST({text} AS DOUBLE) END"
+        elif kind == "bigint":
+            cell = f"CASE WHEN {shape} IN ('BIGINT', 'UBIGINT') THEN CAST({text} AS BIGINT) END"
+        elif kind == "string":
+            cell = f"CASE {shape} WHEN 'VARCHAR' THEN {text} WHEN 'BOOLEAN' THEN upper(left({text}, 1)) || substr({text}, 2) WHEN 'DOUBLE' THEN {text} WHEN 'BIGINT' THEN {text} WHEN 'UBIGINT' THEN {text} END"
+        else:
+            cell = "NULL"  # no delivered line has such an object
+        cells.append(f'{cell} AS "{column.replace(".", "_").replace("-", "_")}"')
+    return f"SELECT {', '.join(cells)} FROM raw_lines WHERE json_valid(line) AND ltrim(line) LIKE '{{%'"
+
+
+ORACLE_SQL |= {f"adapter_{n}": _adapter_sql(n) for n in ("hplt", "s2orc", "megamath", "philpapers")}
