@@ -18,17 +18,20 @@ def _subject_ids(spark: SparkSession, folder: str) -> list[int]:
     return sorted(r["class_id"] for r in names.select("class_id").distinct().limit(1000).collect())
 
 
-def p2_mixture(spark: SparkSession, folder: str) -> DataFrame:
-    """Subjects of each record with the number of sentences about each and its weight."""
+def _mixtures(spark: SparkSession, folder: str) -> DataFrame:
     records = _table(spark, folder, "classify").select("record_id", "text", "TopicClassifier")
     areas = _subject_ids(spark, folder)
     factor = topics.fit(records, _table(spark, folder, "topic_labels"), areas)
-    # Repeated rows have equal texts and so equal mixtures.
-    return topics.mixtures(records, factor, areas).distinct()
+    return topics.mixtures(records, factor, areas)
+
+
+def p2_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Subjects of each record with the number of sentences about each and its weight."""
+    return _mixtures(spark, folder).distinct()  # repeated rows have equal texts and so equal mixtures
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return topics.subjects(p2_mixture(spark, folder))
+    return topics.subjects(_mixtures(spark, folder))
 
 
 def p2_composition(spark: SparkSession, folder: str) -> DataFrame:
