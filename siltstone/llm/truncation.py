@@ -1,8 +1,9 @@
 """Texts whose end is missing, found by word trigrams in pure SQL.
 
 A word is terminal if a sentence mark, a line end or the text's end follows, and
-inner if more of its sentence does.  Over the whole corpus each trigram's
-terminal and inner occurrences are counted.  A final trigram that is often inner
+inner if more of its sentence does.  Over the distinct texts of the corpus, so
+that copies weigh once, each trigram's terminal and inner occurrences are
+counted.  A final trigram that is often inner
 but almost never terminal shows that its text stops where sentences go on.  Too
 rare a trigram is judged by its last two words, its last word, or what follows
 its first two elsewhere.  A text cut inside a word ends in a string that is
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
+from ..plans.lineage import broadcast_if_small, materialize
 
 MIN_INNER = 3  # a trigram must be inner so often
 MAX_TERMINAL = 0.05  # ... and terminal in at most this part of its occurrences
@@ -59,6 +60,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         {"hard": "(?i)" + HARD_MARKS, "soft": SOFT_MARK, "wordy": r"[\p{L}\p{N}]"},
         docs=docs,
     )
+    once = _once(bodies)
     # One row a word; equal trigrams are summed before they are shuffled.
     trigrams = sql(
         f"""
@@ -66,12 +68,12 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         FROM (SELECT inline(arrays_zip(a, b, c, next)) AS (a, b, c, next)
               FROM (SELECT slice(concat(array(:line, :line), w), 1, size(w)) AS a, slice(concat(array(:line), w), 1, size(w)) AS b, w AS c,
                            concat(slice(w, 2, greatest(size(w) - 1, 0)), array('')) AS next
-                    FROM (SELECT {words('body')} AS w FROM {{bodies}}) WHERE size(w) > 0))
+                    FROM (SELECT {words('body')} AS w FROM {{once}}) WHERE size(w) > 0))
         WHERE c NOT IN ('.', :line)
         GROUP BY 1, 2, 3
         """,
         tokens | {"line": LINE},
-        bodies=bodies,
+        once=once,
     )
     trigrams = materialize(trigrams, "trigrams")
     final = sql(
@@ -96,7 +98,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         """,
         trigrams=trigrams, keys=keys,
     )
-    # The final occurrence of a text itself counts as terminal and is taken off again.
+    # The final occurrence of a text itself, one for all its copies, counts as terminal and is taken off again.
     judged = sql(
         rf"""
         WITH known AS (
@@ -138,6 +140,16 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     return out.withColumnRenamed("_key", key)
 
 
+def _once(bodies: DataFrame) -> DataFrame:
+    """(body), each once; only bodies that have copies are shuffled."""
+    sql = bodies.sparkSession.sql
+    marked = sql("SELECT body, md5(body) AS id FROM {bodies}", bodies=bodies)
+    copied = materialize(sql("SELECT id FROM {marked} GROUP BY id HAVING count(*) > 1", marked=marked), "copied")
+    copied = broadcast_if_small(copied)
+    alone = marked.join(copied, "id", "left_anti")
+    return alone.union(marked.join(copied, "id", "left_semi").dropDuplicates(["id"])).select("body")
+
+
 def rates(found: DataFrame) -> DataFrame:
     """(source, texts, cut, share) per source; a null source is a group of its own."""
     return found.groupBy("source").agg(

@@ -39,6 +39,18 @@ def test_found(spark):
     assert sum(r["cut"] for r in rates.values()) == len(found) and None in rates
 
 
+def test_copies(spark):
+    """A cut text is found however often it occurs."""
+    rows, _ = corpus()
+    whole = [r for r in rows if r[1].endswith(".")]
+    cut = {2: "Some prefer the photon because it explains the", 50: "The statute has changed little, although everyone", 7: "Without the enzyme, the whole dividend would have to sta"}
+    copies = [(10_000 * n + i, text, "x") for n, text in cut.items() for i in range(n)]
+    df = spark.createDataFrame([*whole, *copies], "doc_id bigint, text string, source string")
+    found = {r["doc_id"] for r in truncation.verdicts(df).filter("cut").select("doc_id").collect()}
+    assert found >= {r[0] for r in copies}
+    assert not found & {r[0] for r in whole}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert truncation.verdicts(df).count() == 0
