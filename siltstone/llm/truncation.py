@@ -10,8 +10,8 @@ its first two elsewhere.  A text cut inside a word ends in a string that is
 unknown there but begins a word that follows the same two words elsewhere.
 
 Marks that a cutting system leaves (an ellipsis with or without "read more", an
-open comment, half an entity or character) are taken off before the final
-trigram is read, and are evidence of their own; three full stops alone also end
+open comment, half an entity or character) and white space at the end are taken
+off before the final trigram is read, and are evidence of their own; three full stops alone also end
 whole texts and need the trigram's.
 
 Texts that end in a full stop or another sentence mark, and null, empty and
@@ -31,10 +31,12 @@ MIN_PAIR, MIN_WORD = 10, 20  # occurrences of the last two words, of the last wo
 MAX_TERMINAL_RARE = 0.02  # ... and the part of them that may be terminal
 
 # What cutting systems put at the end.
-HARD_MARKS = r"(\s*(\.\.\.|…)?\s*([\[(]\s*(read more|more|continue reading|truncated)\s*[\])]|(?<=(\.\.\.|…)\s?)(read more|more|continue reading))|…|<!--[^>]*(-->)?|\x{FFFD}+|(?-i:&(#[0-9x]{0,6}|[a-z]{0,7})))\s*$"
+HARD_MARKS = r"((?<!\s)\s*+(\.\.\.|…)?\s*+([\[(]\s*+(read more|more|continue reading|truncated)\s*+[\])]|(?<=(\.\.\.|…)\s?)(read more|more|continue reading))|…|\x{FFFD}+|(?-i:&(#[0-9x]{0,6}|[a-z]{0,7})))$"
 SOFT_MARK = r"\.\.\.\s*$"
-MARK_CHARS = 64  # marks are looked for in so many last characters; what is longer is text
-LAST_CHARS = 300  # the last three tokens are read from so many; a longer one counts as unknown
+BLANKS = " \t\n\x0b\f\r\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+# Marks but comments have at most MARK_SIGNS signs that aren't blank; if the last MARK_CHARS hold more, a mark lies within them.
+MARK_SIGNS, MARK_CHARS = 22, 64
+LAST_CHARS = 300  # if so many last characters hold more than three tokens, the last three are the whole text's
 # Words (numbers of equally many digits are one), signs inside sentences, list signs, sentence marks, line ends.
 TOKENS = r"[\p{L}\p{M}\p{N}]+|[,;]|[-–—*•>|→]+(?=\s|$)|[.](?=[\s\"”’)\]]|$)|\n(?!\n)"
 # Signs that count as one, by place in the two strings.
@@ -49,16 +51,30 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     docs = documents.select(F.col(key).alias("_key"), F.col(source).alias("source"), F.col(text).alias("text"))
     tokens = {"tokens": TOKENS, "from": FROM, "to": TO}
     words = lambda text: f"regexp_extract_all(translate(lower({text}), :from, :to), :tokens, 0)"
+    # A comment after the last ">" but its own is a mark; it may be of any length.
+    trimmed = sql(
+        """
+        SELECT _key, source, open > 0 AS comment, if(open > 0, trim(TRAILING :blanks FROM left(text, length(whole) - length(after) + open - 1)), text) AS text
+        FROM (SELECT *, locate('<!--', after) AS open
+              FROM (SELECT *, substring_index(whole, '>', -1) AS after
+                    FROM (SELECT *, if(endswith(text, '-->'), left(text, length(text) - 3), text) AS whole
+                          FROM (SELECT _key, source, trim(TRAILING :blanks FROM text) AS text FROM {docs} WHERE text RLIKE :wordy))))
+        """,
+        {"blanks": BLANKS, "wordy": r"[\p{L}\p{N}]"},
+        docs=docs,
+    )
     bodies = sql(
-        f"""
-        SELECT _key, source, length(plain) < length(tail) AS hard, length(bare) < length(plain) AS soft,
-               concat(left(text, greatest(length(text) - {MARK_CHARS}, 0)), bare) AS body
+        """
+        SELECT _key, source, comment OR length(plain) < length(tail) AS hard, length(bare) < length(plain) AS soft,
+               concat(left(text, length(text) - length(tail)), bare) AS body
         FROM (SELECT *, regexp_replace(plain, :soft, '') AS bare
-              FROM (SELECT *, regexp_replace(tail, :hard, '') AS plain
-                    FROM (SELECT *, right(text, {MARK_CHARS}) AS tail FROM {{docs}} WHERE text RLIKE :wordy)))
+              FROM (SELECT *, if(comment, tail, regexp_replace(tail, :hard, '')) AS plain
+                    FROM (SELECT *, if(length(translate(right(text, :chars), :blanks, '')) > :signs OR length(text) <= :chars,
+                                       right(text, :chars), regexp_extract(text, :last, 0)) AS tail
+                          FROM {trimmed})))
         """,
-        {"hard": "(?i)" + HARD_MARKS, "soft": SOFT_MARK, "wordy": r"[\p{L}\p{N}]"},
-        docs=docs,
+        {"hard": "(?i)" + HARD_MARKS, "soft": SOFT_MARK, "chars": MARK_CHARS, "signs": MARK_SIGNS, "blanks": BLANKS, "last": rf"(?:\S\s*+){{0,{MARK_SIGNS + 1}}}$"},
+        trimmed=trimmed,
     )
     once = _once(bodies)
     # One row a word; equal trigrams are summed before they are shuffled.
@@ -81,19 +97,19 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         SELECT _key, source, hard, soft,
                if(size(w) > 2, w[size(w) - 3], :line) AS a, if(size(w) > 1, w[size(w) - 2], :line) AS b,
                if(size(w) > 0, w[size(w) - 1], '.') AS c
-        FROM (SELECT _key, source, hard, soft, {words(f'right(body, {LAST_CHARS})')} AS w FROM {{bodies}})
+        FROM (SELECT _key, source, hard, soft, if(size(w) > 3 OR length(body) <= {LAST_CHARS}, w, {words('body')}) AS w
+              FROM (SELECT *, {words(f'right(body, {LAST_CHARS})')} AS w FROM {{bodies}}))
         """,
         tokens | {"line": LINE},
         bodies=bodies,
     )
     final = materialize(final, "final")
     keys = sql("SELECT DISTINCT a, b, c FROM {final} WHERE c NOT IN ('.', :line)", {"line": LINE}, final=final)
-    begun = sql(  # longer words after the same two words, by each of their beginnings
+    begun = sql(  # longer words after the same two words, by their beginnings as long as a final word
         """
         SELECT a, b, p AS c, sum(n) AS n, sum(n - ends) AS inner_n
-        FROM (SELECT t.a, t.b, t.n, t.ends, explode(transform(sequence(1, length(t.c) - 1), k -> left(t.c, k))) AS p
-              FROM {trigrams} t LEFT SEMI JOIN {keys} k ON t.a = k.a AND t.b = k.b
-              WHERE length(t.c) BETWEEN 2 AND 60)
+        FROM (SELECT t.a, t.b, t.n, t.ends, explode(transform(filter(k.sizes, s -> s < length(t.c)), s -> left(t.c, s))) AS p
+              FROM {trigrams} t JOIN (SELECT a, b, collect_set(length(c)) AS sizes FROM {keys} GROUP BY a, b) k ON t.a = k.a AND t.b = k.b)
         GROUP BY 1, 2, 3
         """,
         trigrams=trigrams, keys=keys,

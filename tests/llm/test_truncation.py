@@ -51,6 +51,21 @@ def test_copies(spark):
     assert not found & {r[0] for r in whole}
 
 
+def test_ends_of_any_length(spark):
+    """Padding, marks and words at the end are judged however long they are."""
+    rows, _ = corpus()
+    whole = [r for r in rows if r[1].endswith(".")]
+    start, run = "Some prefer the photon because it explains the", "ab" * 400
+    cut = [start, start + " " * 400, start + "\n" * 400, start + " " + "· " * 400, start + " <!-- " + "lost " * 100, start + "<!-- lost" + " " * 100]
+    cut += [start + " [" + " " * 100 + "more" + " " * 100_000 + "]", "Whole. <!-- " + "lost " * 100 + "-->", "Behind it stood " + run]
+    kept = ["Whole <!-- " + "lost " * 100 + "--> again.", "A whole one." + " " * 400]
+    more = [(9000 + i, f"Behind it stood {run}{tail} once.", "x") for i, tail in enumerate(["ba", "bb", "bc"])]
+    df = spark.createDataFrame([*whole, *more, *[(7000 + i, t, "x") for i, t in enumerate(cut)], *[(8000 + i, t, "x") for i, t in enumerate(kept)]], "doc_id bigint, text string, source string")
+    found = {r["doc_id"] for r in truncation.verdicts(df).filter("cut").select("doc_id").collect()}
+    assert sorted(i for i in found if 7000 <= i < 8000) == [7000 + i for i in range(len(cut))]
+    assert not [i for i in found if i < 7000 or i >= 8000]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert truncation.verdicts(df).count() == 0
