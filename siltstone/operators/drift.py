@@ -347,13 +347,15 @@ def unified(lines: DataFrame, names: DataFrame, wanted: dict[str, str] = CANONIC
     """(feed, file_no, line_no, *wanted): one row per distinct valid line of a file, cast
     to the wanted types.
 
-    Values that can't be cast are null; a list or object stands for its scalars,
+    Values that can't be cast are null, and all columns in a file without any
+    wanted field; a list or object stands for its scalars,
     joined by spaces.  A file that arrived twice gives each line once.
     """
     keep = list(wanted)
     mapping = names.groupBy("feed", "file_no").agg(F.map_from_entries(F.collect_list(F.struct("canonical", "field"))).alias("names"))
     once = lines.select("feed", F.col("file_no").cast("int").alias("file_no"), "line_no", "line").dropDuplicates(["feed", "file_no", "line_no", "line"])
-    joined = once.join(mapping, ["feed", "file_no"])
+    once = once.filter("feed is not null and file_no is not null")  # lines of no file, as in profiles
+    joined = once.join(mapping, ["feed", "file_no"], "left")  # files without any wanted field have no names
 
     def cast(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -362,7 +364,7 @@ def unified(lines: DataFrame, names: DataFrame, wanted: dict[str, str] = CANONIC
                 record = parse(line)
                 if record is not None:
                     own = fields(record)
-                    of = dict(fields_of)
+                    of = dict(fields_of) if fields_of is not None else {}
                     values = [own.get(of.get(n)) if n in of else None for n in keep]
                     rows.append((feed, file_no, line_no, *map(content, values)))
             yield pd.DataFrame(rows, columns=["feed", "file_no", "line_no", *keep], dtype=object)

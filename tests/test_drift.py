@@ -66,6 +66,14 @@ def test_unified_table(spark):
     assert second[4]["meta.token_count"] == 48 and second[4]["meta.lang"] == "de"
 
 
+def test_unified_keeps_files_without_wanted_fields(spark):
+    table = lines(spark, {("a", 0): body(40, base), ("a", 1): ['{"zzz": true}', '{"zzz": false}', "broken"], (None, 0): body(3, base)})
+    rows = drift.unified(table, drift.canonical_names(drift.profiles(table))).collect()
+    new = [tuple(r) for r in rows if r["file_no"] == 1]
+    assert sorted(new) == [("a", 1, 0, None, None, None, None), ("a", 1, 1, None, None, None, None)]
+    assert len(rows) == 42 and all(r["text"] for r in rows if r["file_no"] == 0)
+
+
 def test_lattice():
     assert drift.promote("integer", "number") == "number"
     assert drift.promote("boolean", "integer") == "string"
