@@ -303,7 +303,7 @@ _CHANGE_NAMES = [c.split()[0] for c in CHANGES.split(", ")]
 def union_schema(profile: DataFrame) -> DataFrame:
     """(field, type, spark_type, files, feeds): each field's type promoted over all files."""
     present = [F.max(F.when(F.col("type") == t, True)).alias(t) for t in TYPES]
-    every = typed(profile).groupBy("field").agg(*present, F.count("*").alias("files"), F.approx_count_distinct("feed").alias("feeds"))
+    every = typed(profile).groupBy("field").agg(*present, F.count("*").alias("files"), F.count_distinct("feed").alias("feeds"))
     seen = F.array_compact(F.array(*[F.when(F.col(t), F.lit(t)) for t in TYPES]))
     merged = F.reduce(seen, F.lit(None).cast("string"), lambda acc, t: F.when(acc.isNull(), t).otherwise(_promoted(acc, t)))
     table = F.create_map(*[F.lit(x) for pair in SPARK_TYPES.items() for x in pair])

@@ -91,6 +91,12 @@ def test_union_schema(spark):
     assert got == {"a": ("number", "double", 2), "b": ("array", "string", 2), "c": ("boolean", "boolean", 1)}
 
 
+def test_union_schema_counts_feeds_exactly(spark):
+    table = lines(spark, {(f"feed {i}", 0): ['{"text": "a"}'] for i in range(700)})
+    assert [(r["files"], r["feeds"]) for r in drift.union_schema(drift.profiles(table)).collect()] == [(700, 700)]
+
+
+
 @pytest.mark.parametrize("line, ok", [("{}", True), ('{"a": NaN}', False), ("", False), (None, False), ("1", False), ('{"a":1}\r', True)])
 def test_parse(line, ok):
     assert (drift.parse(line) is not None) == ok
