@@ -2,9 +2,12 @@
 
 Lines are parsed in parallel and each task sends one small profile per file and
 field: how often each JSON type occurs and a sketch of the content.  Profiles of
-a file are added up, reduced to a type by the promotion lattice, and compared
-with those of the preceding file of the feed.  The lines are then cast to the
-union schema.
+a file are added up; a field's type in a file is that of most of its values, so
+single odd values change nothing.  The types of successive files are compared
+and promoted to the least type of a lattice that holds both (``promote``): a
+field is retyped where its old and new type differ, and the log names the
+promoted type.  Folded over all files the lattice gives the union schema, which
+the lines are cast to.
 
 A field is a top-level key, or ``meta.x`` for key x in the object ``meta`` and for
 a top-level key spelled that way.  Lines that are null, blank, broken or no JSON
@@ -17,15 +20,18 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
+from ..plans.lineage import broadcast_if_small, materialize
+from .joins import spread_join
 
 # The promotion lattice: a type's bit set holds all types it can be cast to without loss.
 TYPES = ["boolean", "integer", "number", "array", "object", "string"]
@@ -45,9 +51,13 @@ CANONICAL = {"text": "string", "subset": "string", "meta.token_count": "bigint",
 
 # Sums that describe a field's content, besides the sketch.
 MEASURES = ["values", "numeric", "whole", "log_value", "log_value2", "length", "length2", "spaces", "digits", "letters", "upper", "multi"]
-SCHEMA = "feed string, file_no int, field string, lines bigint, nulls bigint, " + ", ".join(f"{t}_n bigint" for t in TYPES) + ", " + ", ".join(
+COUNTS = ["lines", "nulls", *[f"{t}_n" for t in TYPES]]
+CELLS = [f"cell_{i}" for i in range(SKETCH)]
+CELL_UNIT = 1024  # the share of a value's trigrams in a cell is counted in so many parts, so that sums are whole numbers
+HELD_PROFILES = 20_000  # profiles that a task holds; when there are more, they are sent on and added up later
+SCHEMA = "feed string, file_no int, field string, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", " + ", ".join(
     f"{m} double" for m in MEASURES
-) + ", sketch array<double>"
+) + ", " + ", ".join(f"{c} bigint" for c in CELLS)
 
 
 def promote(a: str, b: str) -> str:
@@ -56,6 +66,11 @@ def promote(a: str, b: str) -> str:
     return min(both, key=lambda t: (-len(PROMOTES[t]), TYPES.index(t)))
 
 
+def merged(a: str | None, b: str | None) -> str | None:
+    """promote, where an unknown type (no values) leaves the other."""
+    return promote(a, b) if a and b else a or b
+
+
 def kind(value) -> str:
     """JSON type of a non-null value; a number is what is written with a point or exponent."""
     if isinstance(value, bool):
@@ -114,28 +129,6 @@ def content(value) -> str | None:
 _NUMBER = re.compile(r"\s*-?\d+(\.\d+)?([eE][-+]?\d+)?\s*")
 
 
-class Profile:
-    """Counts and content of one field in some lines of one file."""
-
-    def __init__(self):
-        self.lines = self.nulls = 0
-        self.kinds = dict.fromkeys(TYPES, 0)
-        self.texts: list[str] = []
-
-    def add(self, value) -> None:
-        self.lines += 1
-        if value is None:
-            self.nulls += 1
-        else:
-            self.kinds[kind(value)] += 1
-            self.texts.append(content(value) or "")
-
-    def row(self) -> list:
-        """The values of SCHEMA after the field's name."""
-        sums, sketch = measured(self.texts)
-        return [self.lines, self.nulls, *self.kinds.values(), *sums, sketch]
-
-
 _classes: list[np.ndarray] = []
 
 
@@ -147,58 +140,99 @@ def _sign_classes() -> list[np.ndarray]:
     return _classes
 
 
-def measured(texts: list[str]) -> tuple[list[float], list[float]]:
-    """Sums of MEASURES over values, and the sketch of their character trigrams, each value weighing the same."""
+def measured(texts: list[str], group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of MEASURES over the values of each group, and the cells of the sketches
+    of their character trigrams, each value weighing the same."""
     if not texts:
-        return [0.0] * len(MEASURES), [0.0] * SKETCH
+        return np.zeros((groups, len(MEASURES))), np.zeros((groups, SKETCH), dtype=np.int64)
     code = np.frombuffer("".join(f" {t} " for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     n = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     start = np.cumsum(n + 2) - n - 2
     total = np.maximum(n, 1)
-    part = lambda flags: float((np.add.reduceat(flags.astype(np.int64), start) / total).sum())
+    share = lambda flags: np.add.reduceat(flags.astype(np.int64), start) / total
     capped = np.minimum(code, 0x10000)
-    spaces = np.add.reduceat((code == 32).astype(np.int64), start) - 2
+    spaces = (np.add.reduceat((code == 32).astype(np.int64), start) - 2) / total
     size = np.log1p(n)
-    numbers = np.array([max(-1e300, min(1e300, float(t))) for t in texts if _NUMBER.fullmatch(t)])
-    logs = np.copysign(np.log1p(np.abs(numbers)), numbers)
-    digits, letters, upper = (part(t[capped]) for t in _sign_classes())
-    sums = [
-        float(len(texts)), float(len(numbers)), float((numbers == np.trunc(numbers)).sum()), float(logs.sum()), float((logs * logs).sum()),
-        float(size.sum()), float((size * size).sum()), float((spaces / total).sum()), digits, letters, upper, float(sum(" " in t.strip() for t in texts)),
-    ]
+    numeric = np.fromiter((_NUMBER.fullmatch(t) is not None for t in texts), dtype=bool, count=len(texts))
+    value = np.zeros(len(texts))
+    value[numeric] = [max(-1e300, min(1e300, float(t))) for t, ok in zip(texts, numeric.tolist()) if ok]
+    logs = np.copysign(np.log1p(np.abs(value)), value)
+    digits, letters, upper = (share(t[capped]) for t in _sign_classes())
+    multi = np.fromiter((" " in t.strip() for t in texts), dtype=bool, count=len(texts))
+    every = [np.ones(len(texts)), numeric, numeric & (value == np.trunc(value)), logs, logs * logs, size, size * size, spaces, digits, letters, upper, multi]
+    sums = np.stack([np.bincount(group, weights=v, minlength=groups) for v in every], axis=1)
     hashed = (code[:-2] * 961 + code[1:-1] * 31 + code[2:]) * 0x9E3779B1 % 0x100000000 // (0x100000000 // SKETCH)
     inside = np.ones(len(code), dtype=bool)
     ends = start + n + 2
     inside[ends - 1] = inside[ends - 2] = False
     inside = inside[:-2]
+    owner = np.repeat(group, n + 2)[:-2]
     weight = np.repeat(1 / total, n + 2)[:-2]
-    return sums, np.bincount(hashed[inside], weights=weight[inside], minlength=SKETCH).tolist()
+    cells = np.bincount((owner * SKETCH + hashed)[inside], weights=weight[inside], minlength=groups * SKETCH)
+    return sums, np.rint(cells * CELL_UNIT).astype(np.int64).reshape(groups, SKETCH)
+
+
+def _profiled(rows: Iterable[tuple[str, int, str]]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (feed, file_no, field) of some lines with their COUNTS, MEASURES and CELLS."""
+    keys: dict[tuple, int] = {}
+    of, kinds, texts, owners = [], [], [], []
+    for feed, file_no, line in rows:
+        record = parse(line)
+        if record is None:
+            continue
+        for name, value in fields(record).items():
+            k = keys.setdefault((feed, file_no, name), len(keys))
+            of.append(k)
+            if value is None:
+                kinds.append(0)
+            else:
+                kinds.append(1 + TYPES.index(kind(value)))
+                texts.append(content(value) or "")
+                owners.append(k)
+    size = 1 + len(TYPES)
+    table = np.bincount(np.array(of, dtype=np.int64) * size + np.array(kinds, dtype=np.int64), minlength=len(keys) * size).reshape(-1, size)
+    counts = np.hstack([table.sum(axis=1, keepdims=True), table]).astype(np.int64)
+    return list(keys), counts, *measured(texts, np.array(owners, dtype=np.int64), len(keys))
 
 
 def profiles(lines: DataFrame) -> DataFrame:
     """One row per file and field with the columns of SCHEMA, over all lines of
-    (feed, file_no, line); a file delivered twice counts twice in both."""
+    (feed, file_no, line); a file delivered twice counts twice in all of them."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch_of(held: dict) -> pa.RecordBatch:
+        keys = list(held)
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.string())]
+        for part, type_of in enumerate((pa.int64(), pa.float64(), pa.int64())):
+            columns += [pa.array(c, type_of) for c in np.array([v[part] for v in held.values()]).T]
+        return pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[np.ndarray]] = {}
         for batch in batches:
-            found: dict[tuple, Profile] = {}
-            for feed, file_no, line in zip(batch["feed"], batch["file_no"], batch["line"]):
-                record = parse(line)
-                if record is not None:
-                    for name, value in fields(record).items():
-                        found.setdefault((feed, file_no, name), Profile()).add(value)
-            yield pd.DataFrame(
-                [[*k, *p.row()] for k, p in found.items()],
-                columns=_NAMES,
-            )
+            keys, *parts = _profiled(zip(*(batch.column(c).to_pylist() for c in ("feed", "file_no", "line"))))
+            for key, *own in zip(keys, *parts):
+                held[key] = [a + b for a, b in zip(held[key], own)] if key in held else own
+            if len(held) > HELD_PROFILES:
+                yield batch_of(held)
+                held = {}
+        if held:
+            yield batch_of(held)
+
+    source = lines.select("feed", F.col("file_no").cast("int").alias("file_no"), "line").filter("feed is not null and file_no is not null")
+    return source.mapInArrow(scan, SCHEMA).groupBy("feed", "file_no", "field").agg(*[F.sum(c).alias(c) for c in _NAMES[3:]])
+
+
+_NAMES = ["feed", "file_no", "field", *COUNTS, *MEASURES, *CELLS]
+
 
-    partial = lines.select("feed", F.col("file_no").cast("int").alias("file_no"), "line").filter("feed is not null and file_no is not null").mapInPandas(scan, SCHEMA)
-    flat = partial.select(*[c for c in _NAMES if c != "sketch"], *[F.col("sketch")[i].alias(f"_{i}") for i in range(SKETCH)])
-    sums = flat.groupBy("feed", "file_no", "field").agg(*[F.sum(c).alias(c) for c in flat.columns if c not in ("feed", "file_no", "field")])
-    return sums.select(*[c for c in _NAMES if c != "sketch"], F.array(*[f"_{i}" for i in range(SKETCH)]).alias("sketch"))
+def _sketch() -> Column:
+    return F.array(*[F.col(c).cast("double") for c in CELLS]).alias("sketch")
 
 
-_NAMES = ["feed", "file_no", "field", "lines", "nulls", *[f"{t}_n" for t in TYPES], *MEASURES, "sketch"]
+def packed(profile: DataFrame) -> DataFrame:
+    """(feed, file_no, fields): the typed profiles of each file in one row, the sketches as arrays."""
+    one = F.struct("field", "type", *MEASURES, _sketch())
+    return typed(profile).groupBy("feed", "file_no").agg(F.collect_list(one).alias("fields"))
 
 
 def typed(profile: DataFrame) -> DataFrame:
@@ -255,20 +289,21 @@ def renames(gone: list[dict], new: list[dict]) -> list[tuple[str, str]]:
     return out
 
 
-def _differences(prev: list[dict], cur: list[dict]) -> list[tuple[str, str, str | None, str | None, str | None]]:
-    """(change, field, before, old type, new type) from one file to the next."""
+def _differences(prev: list[dict], cur: list[dict]) -> list[tuple[str, str, str | None, str | None, str | None, str | None]]:
+    """(change, field, before, old type, new type, promoted type) from one file to the next."""
     a, b = {p["field"]: p for p in prev}, {p["field"]: p for p in cur}
     pairs = renames([p for k, p in sorted(a.items()) if k not in b], [p for k, p in sorted(b.items()) if k not in a])
     out = [("renamed", new, old, a[old]["type"], b[new]["type"]) for old, new in pairs]
-    same = [(k, k) for k in a if k in b] + pairs
-    out += [("retyped", n, o, a[o]["type"], b[n]["type"]) for o, n in same if a[o]["type"] and b[n]["type"] and a[o]["type"] != b[n]["type"]]
+    for old, new in [(k, k) for k in a if k in b] + pairs:
+        if a[old]["type"] and b[new]["type"] and not a[old]["type"] == merged(a[old]["type"], b[new]["type"]) == b[new]["type"]:
+            out.append(("retyped", new, old, a[old]["type"], b[new]["type"]))
     old, new = {o for o, _ in pairs}, {n for _, n in pairs}
     out += [("added", k, None, None, p["type"]) for k, p in b.items() if k not in a and k not in new]
     out += [("removed", k, k, p["type"], None) for k, p in a.items() if k not in b and k not in old]
-    return sorted(out, key=lambda x: (x[1], x[0]))
+    return [(*x, merged(x[3], x[4])) for x in sorted(out, key=lambda x: (x[1], x[0]))]
 
 
-CHANGES = "feed string, file_no int, previous_file_no int, change string, field string, previous_field string, previous_type string, type string"
+CHANGES = "feed string, file_no int, previous_file_no int, change string, field string, previous_field string, previous_type string, type string, promoted_type string"
 
 
 def changes(profile: DataFrame) -> DataFrame:
@@ -278,20 +313,17 @@ def changes(profile: DataFrame) -> DataFrame:
     The window over a feed sees file numbers only; profiles meet by an equi-join
     on feed and file number, so a feed with a third of all files is spread out.
     """
-    profile = typed(profile)
-    numbers = profile.select("feed", "file_no").distinct()
+    profile = materialize(packed(profile), "packed")
+    numbers = profile.select("feed", "file_no")
     follows = numbers.withColumn("previous", F.lag("file_no").over(W.partitionBy("feed").orderBy("file_no"))).filter("previous is not null")
-    packed = profile.select("feed", "file_no", F.struct("field", "type", *MEASURES, "sketch").alias("p"))
-    packed = packed.groupBy("feed", "file_no").agg(F.collect_list("p").alias("now"))
-    before = packed.select("feed", F.col("file_no").alias("previous"), F.col("now").alias("then"))
-    pairs = follows.join(packed, ["feed", "file_no"]).join(before, ["feed", "previous"]).select("feed", "file_no", "previous", "then", "now")
+    before = profile.select("feed", F.col("file_no").alias("previous"), F.col("fields").alias("then"))
+    pairs = follows.join(profile, ["feed", "file_no"]).join(before, ["feed", "previous"]).select("feed", "file_no", "previous", "then", F.col("fields").alias("now"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for feed, file_no, previous, then, now in batch.itertuples(index=False):
-                for change, field, old, old_type, new_type in _differences(list(then), list(now)):
-                    rows.append((feed, file_no, previous, change, field, old, old_type, new_type))
+                rows += [(feed, file_no, previous, *change) for change in _differences(list(then), list(now))]
             yield pd.DataFrame(rows, columns=_CHANGE_NAMES)
 
     return pairs.mapInPandas(compare, CHANGES)
@@ -317,17 +349,15 @@ def _promoted(a, b):
 
 
 def canonical_names(profile: DataFrame, wanted: dict[str, str] = CANONICAL) -> DataFrame:
-    """(feed, file_no, field, canonical): which field of each file holds which wanted column.
+    """(feed, file_no, field, type, canonical): which field of each file holds which wanted column.
 
     The files that spell a wanted name give its reference profile; in a file
     without it, the field with the most alike content is taken, if alike enough.
     """
     names = list(wanted)
-    profile = materialize(typed(profile), "profiles")
-    sums = [F.sum(m).alias(m) for m in MEASURES]
-    cells = [F.sum(F.col("sketch")[i]).alias(f"_{i}") for i in range(SKETCH)]
-    model = {r["field"]: r.asDict() | {"sketch": [r[f"_{i}"] for i in range(SKETCH)]} for r in profile.filter(F.col("field").isin(names)).groupBy("field").agg(*sums, *cells).collect()}  # as many rows as wanted columns
-    packed = profile.select("feed", "file_no", F.struct("field", *MEASURES, "sketch").alias("p")).groupBy("feed", "file_no").agg(F.collect_list("p").alias("now"))
+    sums = [F.sum(m).alias(m) for m in (*MEASURES, *CELLS)]
+    spelled = profile.filter(F.col("field").isin(names)).groupBy("field").agg(*sums).select("field", *MEASURES, _sketch())
+    model = {r["field"]: r.asDict() for r in spelled.collect()}  # as many rows as wanted columns
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -336,28 +366,42 @@ def canonical_names(profile: DataFrame, wanted: dict[str, str] = CANONICAL) -> D
                 own = {p["field"]: p for p in now}
                 missing = [model[n] for n in names if n not in own and n in model]
                 rest = [p for k, p in own.items() if k not in names]
-                rows += [(feed, file_no, n, n) for n in names if n in own]
-                rows += [(feed, file_no, field, name) for name, field in renames(missing, rest)]
-            yield pd.DataFrame(rows, columns=["feed", "file_no", "field", "canonical"])
+                pairs = [(n, n) for n in names if n in own] + [(field, name) for name, field in renames(missing, rest)]
+                rows += [(feed, file_no, field, own[field]["type"], name) for field, name in pairs]
+            yield pd.DataFrame(rows, columns=["feed", "file_no", "field", "type", "canonical"])
 
-    return packed.mapInPandas(assign, "feed string, file_no int, field string, canonical string")
+    return packed(profile).mapInPandas(assign, "feed string, file_no int, field string, type string, canonical string")
 
 
-def unified(lines: DataFrame, names: DataFrame, wanted: dict[str, str] = CANONICAL) -> DataFrame:
-    """(feed, file_no, line_no, *wanted): one row per distinct valid line of a file, cast
-    to the wanted types.
+def once(lines: DataFrame) -> DataFrame:
+    """(feed, file_no, line_no, line), equal lines of a file and place once.
+
+    Only files that were delivered more than once are shuffled.
+    """
+    rows = lines.select("feed", F.col("file_no").cast("int").alias("file_no"), "line_no", "line").filter("feed is not null and file_no is not null")
+    again = rows.groupBy("feed", "file_no", "line_no", F.md5("line").alias("_h")).count().filter("count > 1").select("feed", "file_no").distinct()
+    again = broadcast_if_small(materialize(again, "again"))
+    return rows.join(again, ["feed", "file_no"], "left_anti").union(rows.join(again, ["feed", "file_no"], "left_semi").dropDuplicates(["feed", "file_no", "line_no", "line"]))
 
-    Values that can't be cast are null, and all columns in a file without any
-    wanted field; a list or object stands for its scalars,
-    joined by spaces.  A file that arrived twice gives each line once.
+
+def unified(lines: DataFrame, names: DataFrame, wanted: dict[str, str] = CANONICAL) -> DataFrame:
+    """(feed, file_no, line_no, *wanted): one row per distinct valid line of a file.
+
+    The fields that hold a wanted column in the various files have a union type
+    under the lattice; values are cast to it and then to the wanted type.  Values that can't
+    be cast, or not without loss (fractions and numbers out of range for a whole number), are null, and so
+    are all columns in a file without any wanted field; a list or object stands
+    for its scalars, joined by spaces.  A file that arrived twice gives each line
+    once.
     """
     keep = list(wanted)
+    names = materialize(names, "names")
+    types = names.filter("type is not null").groupBy("canonical").agg(F.collect_set("type").alias("t"))
+    union = {r["canonical"]: reduce(promote, r["t"]) for r in types.collect()}  # as many rows as wanted columns
     mapping = names.groupBy("feed", "file_no").agg(F.map_from_entries(F.collect_list(F.struct("canonical", "field"))).alias("names"))
-    once = lines.select("feed", F.col("file_no").cast("int").alias("file_no"), "line_no", "line").dropDuplicates(["feed", "file_no", "line_no", "line"])
-    once = once.filter("feed is not null and file_no is not null")  # lines of no file, as in profiles
-    joined = once.join(mapping, ["feed", "file_no"], "left")  # files without any wanted field have no names
+    joined = spread_join(once(lines), mapping, ["feed", "file_no"], by=["line_no"], how="left")  # files without any wanted field have no names
 
-    def cast(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def open_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for feed, file_no, line_no, line, fields_of in batch[["feed", "file_no", "line_no", "line", "names"]].itertuples(index=False):
@@ -370,6 +414,15 @@ def unified(lines: DataFrame, names: DataFrame, wanted: dict[str, str] = CANONIC
             yield pd.DataFrame(rows, columns=["feed", "file_no", "line_no", *keep], dtype=object)
 
     kind_of = lines.schema["line_no"].dataType.simpleString()
-    text = joined.mapInPandas(cast, f"feed string, file_no int, line_no {kind_of}, " + ", ".join(f"`{n}` string" for n in keep))
-    cast_to = lambda n, t: F.col(f"`{n}`").try_cast("double").cast(t) if t == "bigint" else F.col(f"`{n}`").try_cast(t)
-    return text.select("feed", "file_no", "line_no", *[cast_to(n, t).alias(n) for n, t in wanted.items()])
+    text = joined.mapInPandas(open_up, f"feed string, file_no int, line_no {kind_of}, " + ", ".join(f"`{n}` string" for n in keep))
+    return text.select("feed", "file_no", "line_no", *[cast_through(F.col(f"`{n}`"), union.get(n, "string"), t).alias(n) for n, t in wanted.items()])
+
+
+def cast_through(text: Column, union: str, wanted: str) -> Column:
+    """A value's text, read as the union type of its field and then as the wanted Spark type; null where that loses anything."""
+    if wanted == "string" or union == "boolean" or SPARK_TYPES[union] == wanted:
+        return text.try_cast(wanted)
+    if wanted == "bigint":  # a decimal holds whole numbers that a double would round
+        number = text.try_cast("decimal(38,9)")
+        return F.when(number == F.floor(number), number.try_cast("bigint"))
+    return text.try_cast(wanted)

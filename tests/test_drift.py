@@ -100,3 +100,35 @@ def test_union_schema_counts_feeds_exactly(spark):
 @pytest.mark.parametrize("line, ok", [("{}", True), ('{"a": NaN}', False), ("", False), (None, False), ("1", False), ('{"a":1}\r', True)])
 def test_parse(line, ok):
     assert (drift.parse(line) is not None) == ok
+
+
+def test_values_that_do_not_fit_are_null(spark):
+    values = ['12', '"12"', '12.0', '12.7', '1e30', '"NaN"', '9007199254740993', '"x"', 'null', '-1e400', '99999999999999999999']
+    first = [json.dumps(base(i)) for i in range(12)]
+    table = lines(spark, {("f", 1): first, ("f", 2): ['{"text": "a b c", "meta": {"token_count": %s}}' % v for v in values]})
+    rows = drift.unified(table, drift.canonical_names(drift.profiles(table))).filter("file_no = 2").orderBy("line_no").collect()
+    assert [r["meta.token_count"] for r in rows] == [12, 12, 12, None, None, None, 9007199254740993, None, None, None, None]
+
+
+@pytest.mark.parametrize("union", drift.TYPES)
+def test_cast_through_the_union_type(spark, union):
+    row = spark.createDataFrame([("7.0", "8", "x", None)], "a string, b string, c string, d string").select(
+        *[drift.cast_through(drift.F.col(c), union, "bigint").alias(c) for c in "abcd"]
+    ).first()
+    assert row["b"] == 8 and row["c"] is None and row["d"] is None
+    assert row["a"] in ((7,) if union not in ("integer", "boolean") else (7, None))
+
+
+def test_twice_delivered_lines_and_held_profiles(spark, monkeypatch):
+    table = lines(spark, {("f", 1): body(12, base), ("f", 2): body(12, base)}).unionAll(lines(spark, {("f", 2): body(12, base)}))
+    assert drift.once(table).count() == 24
+    plain = sorted(map(tuple, drift.profiles(table).collect()))
+    monkeypatch.setattr(drift, "HELD_PROFILES", 1)
+    split = sorted(map(tuple, drift.profiles(table.repartition(5)).collect()))
+    assert [p[:11] for p in split] == [p[:11] for p in plain]
+
+
+def test_promoted_type_in_the_log(spark):
+    table = lines(spark, {("f", 1): ['{"a": 1}'] * 3, ("f", 2): ['{"a": 1.5}'] * 3, ("f", 3): ['{"a": true}'] * 3})
+    got = [(r["change"], r["previous_type"], r["type"], r["promoted_type"]) for r in drift.changes(drift.profiles(table)).orderBy("file_no").collect()]
+    assert got == [("retyped", "integer", "number", "number"), ("retyped", "number", "boolean", "string")]
