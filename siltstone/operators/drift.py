@@ -219,14 +219,15 @@ def profiles(lines: DataFrame) -> DataFrame:
             yield batch_of(held)
 
     source = lines.select("feed", F.col("file_no").cast("int").alias("file_no"), "line").filter("feed is not null and file_no is not null")
-    return source.mapInArrow(scan, SCHEMA).groupBy("feed", "file_no", "field").agg(*[F.sum(c).alias(c) for c in _NAMES[3:]])
+    # Spread by file: what follows groups by file or by file and field, and needs no further exchange.
+    return source.mapInArrow(scan, SCHEMA).repartition("feed", "file_no").groupBy("feed", "file_no", "field").agg(*[F.sum(c).alias(c) for c in _NAMES[3:]])
 
 
 _NAMES = ["feed", "file_no", "field", *COUNTS, *MEASURES, *CELLS]
 
 
 def _sketch() -> Column:
-    return F.array(*[F.col(c).cast("double") for c in CELLS]).alias("sketch")
+    return F.array(*[F.col(c).cast("float") for c in CELLS]).alias("sketch")
 
 
 def packed(profile: DataFrame) -> DataFrame:
@@ -258,8 +259,8 @@ def similarity(a, b) -> float:
         gap = abs(ma["log_value"] - mb["log_value"]) / (0.35 + max(da, db))
         shape = abs(math.log((da + 0.05) / (db + 0.05)))  # a constant isn't a measured quantity
         return math.exp(-0.7 * gap - 0.6 * max(0.0, shape - 0.7)) * (1 - 0.8 * abs(ma["whole"] - mb["whole"]))
-    dot = sum(x * y for x, y in zip(a["sketch"], b["sketch"]))
-    norm = math.sqrt(sum(x * x for x in a["sketch"]) * sum(y * y for y in b["sketch"]))
+    sa, sb = np.asarray(a["sketch"], dtype=np.float64), np.asarray(b["sketch"], dtype=np.float64)
+    dot, norm = float(sa @ sb), math.sqrt(float(sa @ sa) * float(sb @ sb))
     gap = abs(ma["length"] - mb["length"]) / (0.5 + max(spread(ma, "length"), spread(mb, "length")))
     signs = sum(abs(ma[m] - mb[m]) for m in ("spaces", "digits", "letters", "upper")) + 0.5 * abs(ma["multi"] - mb["multi"])
     return (dot / norm if norm else 0.0) * math.exp(-0.4 * gap - 1.5 * signs)

@@ -3,37 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import drift
+from ..plans.lineage import materialize
 
 
-def _profiles(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    lines = spark.read.parquet(f"{folder}/raw_lines.parquet")
-    return lines, drift.materialize(drift.profiles(lines), "profiles")
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/raw_lines.parquet")
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    _, profile = _profiles(spark, folder)
-    return drift.changes(profile).select("feed", "file_no", "field", "change")
+    return drift.changes(drift.profiles(_lines(spark, folder))).select("feed", "file_no", "field", "change")
 
 
 def p1_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The ordered log of changes with names and types before and after."""
-    _, profile = _profiles(spark, folder)
-    return drift.changes(profile).orderBy("feed", "file_no", "field", "change")
+    return drift.changes(drift.profiles(_lines(spark, folder))).orderBy("feed", "file_no", "field", "change")
 
 
 def p1_schema(spark: SparkSession, folder: str) -> DataFrame:
     """The union schema of all files under the promotion lattice."""
-    _, profile = _profiles(spark, folder)
-    return drift.union_schema(profile)
+    return drift.union_schema(drift.profiles(_lines(spark, folder)))
 
 
 def p1_unified(spark: SparkSession, folder: str) -> DataFrame:
     """All valid lines of all feeds in one table of consistent columns."""
-    lines, profile = _profiles(spark, folder)
-    return drift.unified(lines, drift.canonical_names(profile))
+    lines = _lines(spark, folder)
+    return drift.unified(lines, drift.canonical_names(materialize(drift.profiles(lines), "profiles")))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_changes, p1_schema, p1_unified)}
