@@ -11,8 +11,10 @@ unknown there but begins a word that follows the same two words elsewhere.
 
 Marks that a cutting system leaves (an ellipsis with or without "read more", an
 open comment, half an entity or character) and white space at the end are taken
-off before the final trigram is read, and are evidence of their own; three full stops alone also end
-whole texts and need the trigram's.
+off before the final trigram is read, and are evidence of their own: they also
+stand behind texts that were cut right before a full stop, where any trigram
+looks whole.  Three full stops also end whole texts; they need a final trigram
+that is known and doesn't usually stop.
 
 Texts that end in a full stop or another sentence mark, and null, empty and
 blank ones, are no cases.
@@ -23,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread_join
 from ..plans.lineage import broadcast_if_small, materialize
 
 MIN_INNER = 3  # a trigram must be inner so often
@@ -36,9 +39,10 @@ SOFT_MARK = r"\.\.\.\s*$"
 BLANKS = " \t\n\x0b\f\r\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # Marks but comments have at most MARK_SIGNS signs that aren't blank; if the last MARK_CHARS hold more, a mark lies within them.
 MARK_SIGNS, MARK_CHARS = 22, 64
-LAST_CHARS = 300  # if so many last characters hold more than three tokens, the last three are the whole text's
+BITS = 1 << 22  # of the bit array that the keys' parts are hashed to
+LAST_CHARS = 100  # if so many last characters hold more than three tokens, the last three are the whole text's
 # Words (numbers of equally many digits are one), signs inside sentences, list signs, sentence marks, line ends.
-TOKENS = r"[\p{L}\p{M}\p{N}]+|[,;]|[-–—*•>|→]+(?=\s|$)|[.](?=[\s\"”’)\]]|$)|\n(?!\n)"
+TOKENS = r"[\p{L}\p{M}\p{N}]++|[,;]|[-–—*•>|→]+(?=\s|$)|[.](?=[\s\"”’)\]]|$)|\n(?!\n)"
 # Signs that count as one, by place in the two strings.
 LINE = "\n"
 FROM, TO = "123456789!?…\r", "000000000...\n"
@@ -58,7 +62,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         FROM (SELECT *, locate('<!--', after) AS open
               FROM (SELECT *, substring_index(whole, '>', -1) AS after
                     FROM (SELECT *, if(endswith(text, '-->'), left(text, length(text) - 3), text) AS whole
-                          FROM (SELECT _key, source, trim(TRAILING :blanks FROM text) AS text FROM {docs} WHERE text RLIKE :wordy))))
+                          FROM (SELECT _key, source, if(locate(right(text, 1), :blanks) > 0, trim(TRAILING :blanks FROM text), text) AS text FROM {docs} WHERE text RLIKE :wordy))))
         """,
         {"blanks": BLANKS, "wordy": r"[\p{L}\p{N}]"},
         docs=docs,
@@ -76,35 +80,20 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         {"hard": "(?i)" + HARD_MARKS, "soft": SOFT_MARK, "chars": MARK_CHARS, "signs": MARK_SIGNS, "blanks": BLANKS, "last": rf"(?:\S\s*+){{0,{MARK_SIGNS + 1}}}$"},
         trimmed=trimmed,
     )
-    once = _once(bodies)
-    # One row a word; equal trigrams are summed before they are shuffled.
-    trigrams = sql(
-        f"""
-        SELECT a, b, c, count(*) AS n, count_if(next IN ('', '.', :line)) AS ends
-        FROM (SELECT inline(arrays_zip(a, b, c, next)) AS (a, b, c, next)
-              FROM (SELECT slice(concat(array(:line, :line), w), 1, size(w)) AS a, slice(concat(array(:line), w), 1, size(w)) AS b, w AS c,
-                           concat(slice(w, 2, greatest(size(w) - 1, 0)), array('')) AS next
-                    FROM (SELECT {words('body')} AS w FROM {{once}}) WHERE size(w) > 0))
-        WHERE c NOT IN ('.', :line)
-        GROUP BY 1, 2, 3
-        """,
-        tokens | {"line": LINE},
-        once=once,
-    )
-    trigrams = materialize(trigrams, "trigrams")
     final = sql(
         f"""
-        SELECT _key, source, hard, soft,
+        SELECT _key, source, hard, soft, md5(body) AS id,
                if(size(w) > 2, w[size(w) - 3], :line) AS a, if(size(w) > 1, w[size(w) - 2], :line) AS b,
                if(size(w) > 0, w[size(w) - 1], '.') AS c
-        FROM (SELECT _key, source, hard, soft, if(size(w) > 3 OR length(body) <= {LAST_CHARS}, w, {words('body')}) AS w
+        FROM (SELECT _key, source, hard, soft, body, if(size(w) > 3 OR length(body) <= {LAST_CHARS}, w, {words('body')}) AS w
               FROM (SELECT *, {words(f'right(body, {LAST_CHARS})')} AS w FROM {{bodies}}))
         """,
         tokens | {"line": LINE},
         bodies=bodies,
     )
     final = materialize(final, "final")
-    keys = sql("SELECT DISTINCT a, b, c FROM {final} WHERE c NOT IN ('.', :line)", {"line": LINE}, final=final)
+    keys = materialize(sql("SELECT DISTINCT a, b, c FROM {final} WHERE c NOT IN ('.', :line)", {"line": LINE}, final=final), "keys")
+    trigrams, marks = _counted(sql(f"SELECT md5(body) AS id, {words('body')} AS w FROM {{bodies}}", tokens, bodies=bodies), final, keys)
     begun = sql(  # longer words after the same two words, by their beginnings as long as a final word
         """
         SELECT a, b, p AS c, sum(n) AS n, sum(n - ends) AS inner_n
@@ -114,19 +103,21 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         """,
         trigrams=trigrams, keys=keys,
     )
+    # A last word or pair may be that of a third of all keys.
+    spread = keys
+    for kind, name, by, rest in (("2", "pair", ["b", "c"], ["a"]), ("3", "word", ["c"], ["a", "b"]), ("1", "after", ["a", "b"], ["c"])):
+        needed = _hit(kind, *by) + ("" if name == "word" else " AND a IS NOT NULL")
+        sums = sql(f"SELECT {', '.join(by)}, sum(n) AS {name}_n, sum(ends) AS {name}_ends FROM {{trigrams}} WHERE {needed} GROUP BY ALL", trigrams=trigrams, marks=marks)
+        spread = spread_join(spread, sums, by, by=rest)
     # The final occurrence of a text itself, one for all its copies, counts as terminal and is taken off again.
     judged = sql(
         rf"""
         WITH known AS (
-          SELECT k.a, k.b, k.c,
-                 t.n - 1 AS n, t.ends - 1 AS ends, p.n - 1 AS pair_n, p.ends - 1 AS pair_ends,
-                 u.n - 1 AS word_n, u.ends - 1 AS word_ends, x.n - 1 AS after_n, x.ends - 1 AS after_ends,
+          SELECT k.a, k.b, k.c, t.n - 1 AS n, t.ends - 1 AS ends, pair_n - 1 AS pair_n, pair_ends - 1 AS pair_ends,
+                 word_n - 1 AS word_n, word_ends - 1 AS word_ends, after_n - 1 AS after_n, after_ends - 1 AS after_ends,
                  coalesce(g.n, 0) AS begun_n, coalesce(g.inner_n, 0) AS begun_inner
-          FROM {{keys}} k
+          FROM {{spread}} k
           JOIN {{trigrams}} t ON k.a = t.a AND k.b = t.b AND k.c = t.c
-          JOIN (SELECT b, c, sum(n) AS n, sum(ends) AS ends FROM {{trigrams}} GROUP BY b, c) p ON k.b = p.b AND k.c = p.c
-          JOIN (SELECT c, sum(n) AS n, sum(ends) AS ends FROM {{trigrams}} GROUP BY c) u ON k.c = u.c
-          JOIN (SELECT a, b, sum(n) AS n, sum(ends) AS ends FROM {{trigrams}} GROUP BY a, b) x ON k.a = x.a AND k.b = x.b
           LEFT JOIN {{begun}} g ON k.a = g.a AND k.b = g.b AND k.c = g.c
         )
         SELECT a, b, c,
@@ -143,27 +134,66 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         FROM known
         """,
         {"line": LINE},
-        keys=keys, trigrams=trigrams, begun=begun,
+        spread=spread, trigrams=trigrams, begun=begun,
     )
-    out = sql(
+    found = sql("SELECT a, b, c, goes_on OR half_word OR rare_goes_on AS goes_on, stops FROM {judged} WHERE goes_on OR half_word OR rare_goes_on OR stops IS NOT NULL", judged=judged)
+    # Many texts may end alike.
+    out = spread_join(final, found, ["a", "b", "c"], by=["_key", "id"], how="left")
+    return out.select(
+        F.col("_key").alias(key), "source", F.expr("hard OR soft").alias("marked"),
+        F.expr("coalesce(goes_on, false) OR hard OR (soft AND NOT coalesce(stops, true))").alias("cut"),
+    )
+
+
+def _hit(*parts: str) -> str:
+    """SQL: whether the bit of a key's part is set in {marks}."""
+    h = f"xxhash64({', '.join(parts)})"
+    return f"getbit((SELECT bits FROM {{marks}})[shiftright(pmod({h}, {BITS}), 6)], pmod({h}, 64)) = 1"
+
+
+def _counted(texts: DataFrame, final: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, c, n, ends) and the bit array: how often trigrams occur in the distinct texts (id, w), and how often
+    at ends, as far as the keys need it: trigrams that share the first or the last two words with a
+    key, and with null a and b the other occurrences of the keys' last words.
+
+    What no key can need is dropped before the shuffle by an array of BITS bits;
+    trigrams that pass it by chance match no key later.  A text
+    with copies is counted by its id, and its sums divided by the number of its copies.
+    """
+    sql = texts.sparkSession.sql
+    # One bit a hash, as an array of BITS / 64 numbers in one row.
+    marks = materialize(sql(
+        f"""
+        SELECT transform(array_sort(collect_list(struct(r.id AS i, coalesce(w.bits, 0) AS bits))), x -> x.bits) AS bits
+        FROM range({BITS // 64}) r LEFT JOIN (
+          SELECT shiftright(h, 6) AS i, bit_or(shiftleft(1L, CAST(h & 63 AS INT))) AS bits
+          FROM (SELECT pmod(x, {BITS}) AS h FROM (SELECT explode(array(xxhash64(1, a, b), xxhash64(2, b, c), xxhash64(3, c))) AS x FROM {{keys}})) GROUP BY 1) w ON r.id = w.i
+        """,
+        keys=keys,
+    ), "marks")
+    copies = broadcast_if_small(materialize(sql("SELECT id, count(*) AS copies FROM {final} GROUP BY id HAVING count(*) > 1", final=final), "copies"))
+    rows = sql(
         """
-        SELECT f._key, f.source, f.hard OR f.soft AS marked,
-               f.hard OR coalesce(j.goes_on OR j.half_word OR j.rare_goes_on OR (f.soft AND NOT j.stops), false) AS cut
-        FROM {final} f LEFT JOIN {judged} j ON f.a = j.a AND f.b = j.b AND f.c = j.c
+        SELECT inline(arrays_zip(a, b, c, next)) AS (a, b, c, next), id, copies
+        FROM (SELECT slice(concat(array(:line, :line), w), 1, size(w)) AS a, slice(concat(array(:line), w), 1, size(w)) AS b, w AS c,
+                     concat(slice(w, 2, greatest(size(w) - 1, 0)), array('')) AS next, if(m.copies IS NULL, NULL, t.id) AS id, m.copies
+              FROM {texts} t LEFT JOIN {copies} m ON t.id = m.id)
         """,
-        final=final, judged=judged,
+        {"line": LINE},
+        texts=texts, copies=copies,
     )
-    return out.withColumnRenamed("_key", key)
-
-
-def _once(bodies: DataFrame) -> DataFrame:
-    """(body), each once; only bodies that have copies are shuffled."""
-    sql = bodies.sparkSession.sql
-    marked = sql("SELECT body, md5(body) AS id FROM {bodies}", bodies=bodies)
-    copied = materialize(sql("SELECT id FROM {marked} GROUP BY id HAVING count(*) > 1", marked=marked), "copied")
-    copied = broadcast_if_small(copied)
-    alone = marked.join(copied, "id", "left_anti")
-    return alone.union(marked.join(copied, "id", "left_semi").dropDuplicates(["id"])).select("body")
+    sums = sql(
+        f"""
+        SELECT if(near, a, NULL) AS a, if(near, b, NULL) AS b, c, count(*) AS n, count_if(next IN ('', '.', :line)) AS ends, id, copies
+        FROM (SELECT *, {_hit('1', 'a', 'b')} OR {_hit('2', 'b', 'c')} AS near FROM {{rows}} WHERE c NOT IN ('.', :line))
+        WHERE near OR {_hit('3', 'c')}
+        GROUP BY 1, 2, 3, id, copies
+        """,
+        {"line": LINE},
+        rows=rows, marks=marks,
+    )
+    once = "sum(if(id IS NULL, {0}, {0} div copies))"
+    return materialize(sql(f"SELECT a, b, c, {once.format('n')} AS n, {once.format('ends')} AS ends FROM {{sums}} GROUP BY 1, 2, 3", sums=sums), "trigrams"), marks
 
 
 def rates(found: DataFrame) -> DataFrame:
