@@ -10,12 +10,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.lineage import materialize
 from . import ppm, segment
 from .batches import map_texts, texts_of
 
 LANGUAGES = ["en", "de", "fr", "es", "pt", "it", "nl", "ru"]
 SAMPLE_PER_LANGUAGE = 2_000  # labelled records that the model is fitted on, at most about this many
-WORDS_PER_LANGUAGE = 50_000  # their most frequent words that are kept, which bounds the model
 FOREIGN_BITS = 60.0  # a sentence is foreign if its language saves this many bits against the text's
 FOREIGN_BITS_PER_WORD = 4.0  # ... and this many a word
 
@@ -56,12 +56,9 @@ def fit(records: DataFrame, key: str = "record_id", text: str = "text", label: s
         return ppm.train({}, LANGUAGES)
     rate = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
     share = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
-    sample = labelled.filter(share < rate[F.col("lang")]).persist()
-    try:
-        model = ppm.train(_collected(sample, None), LANGUAGES)
-        return ppm.train(_collected(sample, sample.sparkSession.sparkContext.broadcast(model)), LANGUAGES)
-    finally:
-        sample.unpersist()
+    sample = materialize(labelled.filter(share < rate[F.col("lang")]).select("lang", "text"), "sample")
+    model = ppm.train(_collected(sample, None), LANGUAGES)
+    return ppm.train(_collected(sample, sample.sparkSession.sparkContext.broadcast(model)), LANGUAGES)
 
 
 def _collected(sample: DataFrame, model: Broadcast | None) -> dict[str, dict[str, int]]:
@@ -94,10 +91,10 @@ def _collected(sample: DataFrame, model: Broadcast | None) -> dict[str, dict[str
         }
 
     counts = map_texts(sample.select("lang", "text"), count, "lang string, word string, n bigint")
-    counts = counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    rows = counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()  # all words of the bounded sample
     out: dict[str, dict[str, int]] = {}
-    for row in counts.orderBy(F.desc("n"), "lang", "word").limit(WORDS_PER_LANGUAGE * len(LANGUAGES)).collect():
-        out.setdefault(row["lang"], {})[row["word"]] = row["n"]
+    for lang, word, n in zip(*(rows.column(c).to_pylist() for c in ("lang", "word", "n"))):
+        out.setdefault(lang, {})[word] = n
     return out
 
 

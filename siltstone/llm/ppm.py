@@ -22,8 +22,7 @@ import numpy as np
 from . import segment
 
 ORDER = 5
-CACHE_LIMIT = 400_000  # distinct words kept per worker
-KEPT_WORD = 40
+CACHE_LIMIT = 400_000  # distinct words kept per worker, beyond which the cache starts anew
 
 
 UNTRAINED = 1e6  # bits of any word under a language without training words

@@ -9,13 +9,19 @@ from ..plans.lineage import materialize
 from . import language, mixing, ranking, tokens, topics, truncation
 
 
+MAX_SUBJECTS = 1000  # a model has a column a subject; more are an error
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _subject_ids(spark: SparkSession, folder: str) -> list[int]:
     names = _table(spark, folder, "class_names").filter("classifier = 'TopicClassifier' and class_id is not null")
-    return sorted(r["class_id"] for r in names.select("class_id").distinct().limit(1000).collect())
+    rows = names.select("class_id").distinct().limit(MAX_SUBJECTS + 1).collect()
+    if len(rows) > MAX_SUBJECTS:
+        raise ValueError(f"there are more than {MAX_SUBJECTS} subject areas")
+    return sorted(r["class_id"] for r in rows)
 
 
 def _mixtures(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,6 +93,11 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.ids(_table(spark, folder, "documents"))
 
 
+def p7_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """The character of each text at which the slice of each id begins."""
+    return tokens.ids(_table(spark, folder, "documents"), offsets=True).select("doc_id", "starts")
+
+
 def _drawn(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     sized = tokens.counts(_table(spark, folder, "documents").select("doc_id", "source", "text"))
     return mixing.draws(sized, _table(spark, folder, "mix_targets"))
@@ -102,7 +113,8 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of each mix with their training positions."""
-    return mixing.ordered(_drawn(spark, folder)[0])
+    drawn, plan = _drawn(spark, folder)
+    return mixing.ordered(drawn, mixing.shares(drawn, plan))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +130,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p2_found, p2_mixture, p2_composition, p3_found, p3_budget, p4_found, p4_ranking, p5_found, p5_cutoffs,
-        p6_found, p6_languages, p6_segments, p7_ids, p8_found, p8_shares, p8_mix, p9_found, p9_rates,
+        p6_found, p6_languages, p6_segments, p7_ids, p7_offsets, p8_found, p8_shares, p8_mix, p9_found, p9_rates,
     )
 }
 

@@ -5,8 +5,9 @@ found with array operations, never with a regular expression:
 
 * each codepoint is mapped to a class by one table lookup,
 * runs of equal class come from comparing neighbours,
-* state that a scanner would carry along (the current text, sentence, run) is
-  an associative scan (cumulative sum) over the boundary flags.
+* state that a scanner would carry along is an associative scan: cumulative sums
+  over boundary flags for counts, and for a finite automaton the composition of
+  its transition functions (``scan``).
 
 Texts are joined with a separator that has a class of its own, so no run, word
 or sentence ever spans two texts.  Null and empty texts have no runs at all.
@@ -68,6 +69,39 @@ def sub_batches(texts, limit_chars: int = 400_000):
         yield start, len(texts)
 
 
+def scan(functions: np.ndarray, first: int = 0, width: int = 64) -> np.ndarray:
+    """State of an automaton before each element of a sequence.
+
+    Row i of functions maps the state before element i to the one after it.
+    Composition is associative: the sequence is cut into blocks, the functions of
+    a block are composed for all blocks at once, the blocks' own functions are
+    scanned in the same way, and a second pass fills in the states.
+    """
+    n, states = functions.shape
+    if n <= width:
+        out = np.empty(n, dtype=np.uint8)
+        state = first
+        for i, row in enumerate(functions.tolist()):
+            out[i] = state
+            state = row[state]
+        return out
+    blocks = -(-n // width)
+    padded = np.empty((blocks * width, states), dtype=np.uint8)
+    padded[:n] = functions
+    padded[n:] = np.arange(states, dtype=np.uint8)
+    padded = padded.reshape(blocks, width, states)
+    composed = padded[:, 0]
+    for k in range(1, width):
+        composed = np.take_along_axis(padded[:, k], composed, axis=1)
+    state = scan(composed, first, width)
+    out = np.empty((blocks, width), dtype=np.uint8)
+    line = np.arange(blocks)
+    for k in range(width):
+        out[:, k] = state
+        state = padded[line, k, state]
+    return out.reshape(-1)[:n]
+
+
 def _codes(signs: str) -> np.ndarray:
     return np.frombuffer(signs.encode("utf-32-le"), dtype=np.uint32)
 

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import cumulative
 from . import bpe
 from .batches import map_texts, texts_of
 from .language import normalized
@@ -13,15 +14,22 @@ from .language import normalized
 WRONG_FACTOR = 2.0
 
 
-def ids(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = bpe.BYTE_BPE_50K, folder: str = bpe.VOCABULARY_DIR) -> DataFrame:
-    """(key, ids): the ids of each text without special tokens; none for null and empty texts."""
+def ids(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = bpe.BYTE_BPE_50K, folder: str = bpe.VOCABULARY_DIR, offsets: bool = False) -> DataFrame:
+    """(key, ids): the ids of each text without special tokens; none for null and empty texts.
+
+    offsets adds ``starts``: for each id the character at which its slice of the
+    text begins.  The ids of one slice have the same start and decode together.
+    """
 
     def encode(batch: pa.RecordBatch) -> dict:
-        values, offsets = bpe.load(vocabulary, folder).encode(texts_of(batch))
-        return {key: batch.column(key), "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))}
+        found = bpe.load(vocabulary, folder).encoded(texts_of(batch))
+        bounds = pa.array(found.offsets, pa.int32())
+        out = {key: batch.column(key), "ids": pa.ListArray.from_arrays(bounds, pa.array(found.ids, pa.int32()))}
+        return out | {"starts": pa.ListArray.from_arrays(bounds, pa.array(found.id_starts(), pa.int32()))} if offsets else out
 
     kind = documents.schema[key].dataType.simpleString()
-    return map_texts(documents.select(key, F.col(text).alias("text")), encode, f"`{key}` {kind}, ids array<int>")
+    schema = f"`{key}` {kind}, ids array<int>" + (", starts array<int>" if offsets else "")
+    return map_texts(documents.select(key, F.col(text).alias("text")), encode, schema)
 
 
 def counts(documents: DataFrame, text: str = "text", vocabulary: str = bpe.BYTE_BPE_50K, folder: str = bpe.VOCABULARY_DIR) -> DataFrame:
@@ -57,11 +65,13 @@ def record_counts(records: DataFrame, **options) -> DataFrame:
 def rates(counted: DataFrame, given: str = "jais_token_count") -> DataFrame:
     """(lang, rate): how many tokens of the other tokenizer a token counted here stands for.
 
-    The median over all rows of a language that have both numbers; wrong ones
-    on both sides don't move it.  Rows without a language have a rate of their own.
+    The exact lower median over all rows of a language that have both numbers;
+    wrong ones on both sides don't move it.  Rows without a language have a rate
+    of their own.
     """
-    sound = counted.filter(f"has_text and n_tokens > 0 and {given} > 0")
-    return sound.groupBy("lang").agg(F.percentile_approx(F.col(given) / F.col("n_tokens"), 0.5, 1000).alias("rate"))
+    sound = counted.filter(f"has_text and n_tokens > 0 and {given} > 0").select("lang", (F.col(given) / F.col("n_tokens")).alias("rate"))
+    steps = cumulative(sound, ["lang"], "rate").filter(2 * (F.col("n_before") + F.col("n")) >= F.col("n_group"))
+    return steps.groupBy("lang").agg(F.min("rate").alias("rate"))
 
 
 def wrong_counts(counted: DataFrame, given: str = "jais_token_count", factor: float = WRONG_FACTOR) -> DataFrame:
@@ -83,7 +93,7 @@ def budget(counted: DataFrame) -> DataFrame:
 
     (source, lang, domain, level, records, n_tokens, jais_tokens): level is the
     grouping id (0: all three given, 7: grand total); repeats of a record count
-    once.  jais_tokens are the given counts where they are plausible, else the
+    once (of differing rows the least one), rows with a null record_id each.  jais_tokens are the given counts where they are plausible, else the
     expected ones.  Null lang and domain are groups of their own.
     """
     known = F.broadcast(rates(counted).select(F.col("lang").alias("_lang"), "rate"))  # one row a language
@@ -92,7 +102,9 @@ def budget(counted: DataFrame) -> DataFrame:
     given = F.col("jais_token_count")
     sound = (given * WRONG_FACTOR >= expected) & (given <= expected * WRONG_FACTOR)
     rows = rows.withColumn("jais", F.when(sound, given).otherwise(F.round(expected)).cast("bigint"))
-    once = rows.groupBy("record_id").agg(*[F.first(c).alias(c) for c in ("source", "lang", "domain", "n_tokens", "jais")])
+    values = F.struct("source", "lang", "domain", "n_tokens", "jais").alias("v")
+    once = rows.filter("record_id is not null").groupBy("record_id").agg(F.min(values).alias("v")).select("v.*")
+    once = once.union(rows.filter("record_id is null").select("source", "lang", "domain", "n_tokens", "jais"))
     # Summed to the finest level first: the cube then expands one row per group, not per record.
     fine = once.groupBy("source", "lang", "domain").agg(
         F.count("*").alias("records"), F.sum("n_tokens").alias("n_tokens"), F.sum("jais").alias("jais_tokens")

@@ -65,3 +65,15 @@ def test_empty(spark):
     assert drawn.count() == 0 and not any(r["short"] for r in mixing.shares(drawn, plan).collect())
     drawn, plan = mixing.draws(sized, asked.limit(0))
     assert drawn.count() == 0 and mixing.shares(drawn, plan).count() == 0
+
+
+def test_short_sources_run_out_early_and_are_stretched(spark):
+    sized = spark.createDataFrame([(i, "a" if i % 2 else "b", 10) for i in range(100)] + [(7, "a", 10)], "doc_id bigint, source string, n_tokens bigint")
+    asked = spark.createDataFrame([(1, "a", 0.2, 1, 1.0), (1, "b", 0.8, 1, 1.0)], "mix_id int, source string, target_share double, max_repeats int, total_multiple double")
+    drawn, plan = mixing.draws(sized, asked, tilt=0.0)
+    report = {r["source"]: r for r in mixing.shares(drawn, plan).collect()}
+    assert report["b"]["short"] and abs(report["b"]["until"] - 500 / 808) < 1e-9
+    assert not report["a"]["short"] and report["a"]["until"] >= 1
+    rows = mixing.ordered(drawn, mixing.shares(drawn, plan)).collect()
+    assert max(r["position"] for r in rows if r["source"] == "b") > 0.95
+    assert len(rows) == drawn.count()

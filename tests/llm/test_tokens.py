@@ -63,3 +63,42 @@ def test_wrong_counts_and_budget(spark):
     total = tokens.budget(counted).filter("level = 7").first()
     assert total["records"] == 36 and total["n_tokens"] == own * 34 and total["jais_tokens"] == 2 * own * 33 + 5
     assert tokens.wrong_counts(tokens.record_counts(records(spark, []))).count() == 0
+
+
+def test_scan_is_the_automaton():
+    import random
+
+    import numpy as np
+
+    from siltstone.llm import segment
+
+    rnd = random.Random(2)
+    for n in (0, 1, 5, 64, 65, 5000):
+        functions = np.array([[rnd.randrange(4) for _ in range(4)] for _ in range(n)], dtype=np.uint8).reshape(n, 4)
+        state, expected = 0, []
+        for row in functions.tolist():
+            expected.append(state)
+            state = row[state]
+        assert segment.scan(functions).tolist() == expected
+        assert segment.scan(functions, width=3).tolist() == expected
+
+
+def test_offsets_decode_by_position(spark):
+    texts = ["I'll say: don't, they're  here'dx ''s 's", "", None, "Ünïcode   ’s  x\n\n y 123abc"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    encoder = bpe.load()
+    for r in tokens.ids(df, offsets=True).collect():
+        text = texts[r["doc_id"]] or ""
+        assert len(r["starts"]) == len(r["ids"]) and r["starts"] == sorted(r["starts"])
+        bounds = sorted(set(r["starts"])) + [len(text)]
+        for a, b in zip(bounds, bounds[1:]):
+            assert encoder.decode_between(r["ids"], r["starts"], a, b) == text[a:b]
+        assert encoder.decode_between(r["ids"], r["starts"], 0, len(text) + 1) == text
+
+
+def test_exact_median_and_null_ids(spark):
+    rows = [(i, "a", "en", "d", True, g, None, 10) for i, g in enumerate([10, 20, 30, 40])] + [(None, "a", "en", "d", True, 20, None, 10)] * 3
+    counted = spark.createDataFrame(rows, "record_id bigint, source string, lang string, domain string, has_text boolean, jais_token_count bigint, meta_tokens bigint, n_tokens bigint")
+    assert [tuple(r) for r in tokens.rates(counted).collect()] == [("en", 2.0)]
+    total = tokens.budget(counted).filter("level = 7").first()
+    assert (total["records"], total["n_tokens"]) == (7, 70)
