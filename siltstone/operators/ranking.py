@@ -14,24 +14,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..plans.lineage import materialize
+from ..plans.lineage import broadcast_if_small, materialize
+from .joins import spread_join
 
-BUCKETS = 128
+BUCKETS, MOST_BUCKETS = 128, 4096
+BUCKET_ROWS = 1_000_000  # distinct values that a bucket should hold
+BROADCAST_ROWS = 1_000  # groups whose bounds, and offsets, are broadcast; with more, the join shuffles
 
 
-def cumulative(df: DataFrame, keys: list[str], value: str, weight: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
+def cumulative(df: DataFrame, keys: list[str], value: str, weight: Column | None = None, buckets: int | None = None) -> DataFrame:
     """One row per (keys, value): ``n`` its weight, ``n_before`` the weight of
     smaller values of the group and ``n_group`` that of the whole group.
 
     ``value`` must be numeric and not null; weight defaults to one a row and
     must be of integral type for exact sums.  Null keys form a group.  An empty
-    input gives no rows.
+    input gives no rows.  The number of buckets follows that of distinct values.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
     agg = materialize(df.groupBy(*keys, value).agg(F.sum(weight).cast("bigint").alias("n")), "values")
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, max(BUCKETS, -(-agg.count() // BUCKET_ROWS)))  # counted from footers
     probs = [i / buckets for i in range(1, buckets)]
     bounds = agg.groupBy(*keys).agg(F.percentile_approx(value, probs, 20 * buckets).alias("_bounds"))
-    agg = _join(agg, bounds, keys)
+    agg = _join(agg, bounds, keys, value)
     agg = agg.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(value)))).drop("_bounds")
     sums = agg.groupBy(*keys, "_bucket").agg(F.sum("n").alias("_sum"))
     group = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(1))
@@ -43,17 +48,20 @@ def cumulative(df: DataFrame, keys: list[str], value: str, weight: Column | None
     )
     inside = W.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     out = agg.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    out = _join(out, offsets, [*keys, "_bucket"])
+    out = _join(out, offsets, [*keys, "_bucket"], value)
     return out.select(*keys, value, "n", (F.col("_offset") + F.col("_inside")).alias("n_before"), "n_group")
 
 
-def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on keys, nulls equal, that keeps the left columns of keys."""
+def _join(left: DataFrame, right: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Inner join on keys, nulls equal, with a side of one row a key: broadcast if it is small, else spread over parts of each key."""
     if not keys:
         keys, left, right = ["_all"], left.withColumn("_all", F.lit(1)), right.withColumn("_all", F.lit(1))
-    right = right.select([F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    small = broadcast_if_small(right, BROADCAST_ROWS)
+    if small is right:
+        return spread_join(left, right, keys, by=[by]).drop("_all")
+    small = small.select([F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in small.columns])
     on = None
     for c in keys:
-        same = left[c].eqNullSafe(right[f"_r_{c}"])
+        same = left[c].eqNullSafe(small[f"_r_{c}"])
         on = same if on is None else on & same
-    return left.join(right, on).drop(*[f"_r_{c}" for c in keys], "_all")
+    return left.join(F.broadcast(small), on).drop(*[f"_r_{c}" for c in keys], "_all")

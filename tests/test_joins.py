@@ -1,4 +1,4 @@
-from siltstone.operators.joins import PARTS, spread_join
+from siltstone.operators.joins import PARTS, hot_join, spread_join
 
 
 def test_hot_and_null_keys(spark):
@@ -22,3 +22,14 @@ def test_no_task_gets_a_whole_hot_key(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_join(spark):
+    big = spark.sql("SELECT id, CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 1.5D ELSE CAST(id AS DOUBLE) END AS v FROM range(3000)")
+    small = big.filter("v is not null").groupBy("v").count().selectExpr("v", "count AS n", "v * 2 AS twice")
+    got = {r["id"]: (r["v"], r["twice"]) for r in hot_join(big, small, ["v"], "n > 100", by=["id"]).collect()}
+    assert len(got) == 3000
+    assert all(t == (v * 2 if v is not None else None) for v, t in got.values())
+    assert hot_join(big.limit(0), small, ["v"], "n > 100", by=["id"]).count() == 0
+    missing = hot_join(big, small.filter("v > 10"), ["v"], "n > 100", by=["id"])
+    assert missing.filter("v = 1.5 and twice is null").count() == 1000
