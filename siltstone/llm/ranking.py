@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import hot_join
 from ..operators.ranking import cumulative
 from ..plans.lineage import broadcast_if_small, materialize
 
 SCORES = ["fineweb_edu_classifier_score", "fasttext_eli5_score", "fasttext_preselect_score"]
 UNKNOWN = "unknown"
+HOT = 1000  # a value that more than 1 / HOT of the records share is joined by broadcast
 
 
 def _sound(column: str) -> F.Column:
@@ -18,36 +22,46 @@ def _sound(column: str) -> F.Column:
     return F.when(~F.isnan(value), value)
 
 
-def percentiles(records: DataFrame, key: str = "record_id", scores: list[str] = SCORES) -> DataFrame:
-    """(score_name, value, share): place of each score value among all records.
+def scored_records(records: DataFrame, key: str = "record_id", scores: list[str] = SCORES) -> DataFrame:
+    """(_key, _s0, _s1, ...): one row per record with its sound scores; of repeated rows that differ the highest counts."""
+    rows = records.select(F.col(key).alias("_key"), *[_sound(s).alias(f"_s{i}") for i, s in enumerate(scores)])
+    return materialize(rows.groupBy("_key").agg(*[F.max(f"_s{i}").alias(f"_s{i}") for i in range(len(scores))]), "records")
+
+
+def _long(rows: DataFrame, scores: list[str]) -> DataFrame:
+    """(_key, score_name, value) of rows of scored_records."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("score_name"), F.col(f"_s{i}").alias("value")) for i, s in enumerate(scores)]))
+    return rows.select("_key", pairs.alias("p")).select("_key", "p.score_name", "p.value")
 
-    Repeated rows of a record count once, null and NaN not at all.  The share is
-    the mid-rank (smaller records plus half of the equal ones) over the records
-    that have the score, so a value at which a classifier got stuck has the
-    middle of its ties, and scale or range of a score don't matter.
+
+def percentiles(rows: DataFrame, scores: list[str] = SCORES) -> DataFrame:
+    """(score_name, value, share, n, n_group): place of each score value among the records of scored_records.
+
+    Null and NaN scores don't count.  The share is the mid-rank (smaller records
+    plus half of the equal ones) over the records that have the score, so a value
+    at which a classifier got stuck has the middle of its ties, and scale or
+    range of a score don't matter.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("score_name"), _sound(s).alias("value")) for s in scores]))
-    long = records.select(F.col(key).alias("_key"), pairs.alias("p")).select("_key", "p.score_name", "p.value")
-    long = long.filter("value is not null").dropDuplicates(["_key", "score_name", "value"])
-    return cumulative(long, ["score_name"], "value").select(
-        "score_name", "value", ((F.col("n_before") + F.col("n") / 2) / F.col("n_group")).alias("share")
+    return cumulative(_long(rows, scores).filter("value is not null"), ["score_name"], "value").select(
+        "score_name", "value", ((F.col("n_before") + F.col("n") / 2) / F.col("n_group")).alias("share"), "n", "n_group"
     )
 
 
-def leximin_vectors(records: DataFrame, wanted: DataFrame, key: str = "record_id", scores: list[str] = SCORES) -> DataFrame:
-    """(key, vector) for each key of `wanted` that `records` has.
+def leximin_vectors(records: DataFrame, wanted: DataFrame | None = None, key: str = "record_id", scores: list[str] = SCORES) -> DataFrame:
+    """(key, vector) for each record, or for each key of `wanted` that `records` has.
 
     The vector holds the percentiles of the scores in ascending order, null and
     NaN as 0.  Vectors compare lexicographically: the weakest score decides
-    first, so a strong score can't mask it.
+    first, so a strong score can't mask it.  Null keys are one record without `wanted`.
     """
-    wanted = wanted.select(F.col(key).alias("_key")).filter("_key is not null").distinct()
-    rows = records.select(F.col(key).alias("_key"), *[_sound(s).alias(f"_s{i}") for i, s in enumerate(scores)])
-    rows = rows.join(wanted, "_key", "left_semi").groupBy("_key").agg(*[F.max(f"_s{i}").alias(f"_s{i}") for i in range(len(scores))])
-    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("score_name"), F.col(f"_s{i}").alias("value")) for i, s in enumerate(scores)]))
-    long = rows.select("_key", pairs.alias("p")).select("_key", "p.score_name", "p.value")
-    shares = percentiles(records, key, scores)
-    placed = long.join(shares, ["score_name", "value"], "left").select("_key", F.coalesce("share", F.lit(0.0)).alias("share"))
+    every = scored_records(records, key, scores)
+    shares = materialize(percentiles(every, scores), "shares")
+    rows = every
+    if wanted is not None:
+        rows = every.join(wanted.select(F.col(key).alias("_key")).filter("_key is not null").distinct(), "_key", "left_semi")
+    # A value shared by more than 1 / HOT of the records of its score is hot: at most HOT values a score.
+    placed = hot_join(_long(rows, scores), shares, ["score_name", "value"], f"n * {HOT} > n_group", by=["_key"])
+    placed = placed.select("_key", F.coalesce("share", F.lit(0.0)).alias("share"))
     return placed.groupBy("_key").agg(F.sort_array(F.collect_list("share")).alias("vector")).withColumnRenamed("_key", key)
 
 
@@ -69,19 +83,20 @@ def ranking(records: DataFrame, key: str = "record_id", scores: list[str] = SCOR
 
     Records of equal vectors share the position of the first of them.
     """
-    vectors = materialize(leximin_vectors(records, records, key, scores), "vectors")
-    weakest = vectors.withColumn("_weakest", -F.element_at("vector", 1))
-    before = cumulative(weakest, [], "_weakest").select("_weakest", "n_before")
-    # Only records with an equal weakest score are compared further; those
-    # without one score (weakest = 0) may be many, so their second is ranked alike.
-    levels = [F.element_at("vector", i + 1) for i in range(1, len(scores))]
-    ranked = weakest.join(before, "_weakest")
-    for i, level in enumerate(levels):
-        ranked = materialize(ranked.withColumn("_next", -level), "ties")
-        inner = cumulative(ranked.withColumnRenamed("n_before", "_base"), ["_base"], "_next").select("_base", F.col("_next").alias("_value"), F.col("n_before").alias("_more"))
-        ranked = ranked.join(inner, (ranked["n_before"] == inner["_base"]) & (ranked["_next"] == inner["_value"]))
-        ranked = ranked.select(key, "vector", (F.col("n_before") + F.col("_more")).alias("n_before"))
-    return ranked.select(key, "vector", (F.col("n_before") + 1).alias("position"))
+    ranked = leximin_vectors(records, None, key, scores).filter(F.col(key).isNotNull()).withColumn("n_before", F.lit(0).cast("bigint"))
+    done = []
+    for level in range(1, len(scores) + 1):
+        # Among records of equal vectors up to here; alone in its place, a record needs no further comparison.
+        ranked = materialize(ranked.withColumn("_next", -F.element_at("vector", level)), "ties")
+        limit = ranked.count() // HOT  # so that at most HOT places are hot
+        steps = cumulative(ranked.select(F.col("n_before").alias("_base"), "_next"), ["_base"], "_next")
+        steps = materialize(steps.select(F.col("_base").alias("n_before"), "_next", "n", F.col("n_before").alias("more")), "places")
+        ranked = hot_join(ranked, steps, ["n_before", "_next"], f"n > {limit}", by=[key])
+        ranked = materialize(ranked.select(key, "vector", (F.col("n_before") + F.col("more")).alias("n_before"), F.col("n").alias("_tied")), "ranked")
+        done.append(ranked.filter("_tied = 1"))
+        ranked = ranked.filter("_tied > 1").drop("_tied")
+    out = reduce(DataFrame.union, [d.drop("_tied") for d in done], ranked)
+    return out.select(key, "vector", (F.col("n_before") + 1).alias("position"))
 
 
 def cutoffs(records: DataFrame, targets: DataFrame, key: str = "record_id", subset: str = "subset") -> DataFrame:
@@ -123,7 +138,7 @@ def _cutoffs(scored: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFram
     # Summed from the smallest: those at or above a value are the group without those before it.
     steps = cumulative(scored, ["target_id"], "value").withColumn("n_from", F.col("n_group") - F.col("n_before"))
     goals = targets.select("target_id", F.col("target_fraction").cast("decimal(20,12)").alias("_goal"))
-    enough = steps.join(goals, "target_id").filter(F.col("n_from").cast("decimal(20,0)") >= F.col("_goal") * F.col("n_group").cast("decimal(18,0)"))
+    enough = steps.join(broadcast_if_small(goals), "target_id").filter(F.col("n_from").cast("decimal(20,0)") >= F.col("_goal") * F.col("n_group").cast("decimal(18,0)"))
     cut = enough.groupBy("target_id").agg(F.max("value").alias("cutoff"), F.min("n_from").alias("n_kept"), F.max("n_group").alias("n_counted"))
     report = targets.join(cut, "target_id", "left").select(
         "target_id", F.coalesce("subset", F.lit(UNKNOWN)).alias("subset"), "score_name", "target_fraction",
