@@ -9,6 +9,7 @@ shape are searched without a schema.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,6 +19,16 @@ from pyspark.sql import functions as F
 ALL = object()  # every item of a list
 
 
+# One step: a dot (which only separates), a bracket with a quoted key, nothing or a star, a number or a bare key, or a plain key.
+_STEP = re.compile(
+    r"""(?P<dot>\.)
+      | \[ (?: "(?P<double>[^"]*)" | '(?P<single>[^']*)' | \s* (?: (?P<all>\*?) | (?P<negative>-\d+) | (?P<index>\d+) | (?P<bare>[^\]"'\s][^\]]*?) ) \s* ) \]
+      | (?P<key>[^.\[]+)""",
+    re.VERBOSE,
+)
+_MEANING = {"double": str, "single": str, "bare": str, "key": str, "index": int, "all": lambda _: ALL}
+
+
 def parse(selector: str) -> list:
     """Steps of a selector: str for keys, int for items, ALL.  ValueError if malformed."""
     text = selector.strip()
@@ -25,39 +36,15 @@ def parse(selector: str) -> list:
         raise ValueError("empty selector")
     steps, at = [], 0
     while at < len(text):
-        if text[at] == ".":
-            at += 1
-        elif text[at] == "[":
-            step, at = _bracket(text, at + 1)
-            steps.append(step)
-        else:
-            end = min((p for p in (text.find(".", at), text.find("[", at)) if p >= 0), default=len(text))
-            steps.append(text[at:end])
-            at = end
+        found = _STEP.match(text, at)
+        if found is None or found.lastgroup == "negative":
+            raise ValueError(f"no step (an open bracket or quote, or a negative index) at character {at} of the selector {text}")
+        if found.lastgroup != "dot":
+            steps.append(_MEANING[found.lastgroup](found[found.lastgroup]))
+        at = found.end()
     return steps
 
 
-def _bracket(text: str, at: int) -> tuple:
-    if text[at : at + 1] in ("'", '"') and text[at : at + 1]:
-        end = text.find(text[at], at + 1)
-        if end < 0:
-            raise ValueError(f"unclosed quote in selector: {text}")
-        if text[end + 1 : end + 2] != "]":
-            raise ValueError(f"']' must follow the quoted key in selector: {text}")
-        return text[at + 1 : end], end + 2
-    end = text.find("]", at)
-    if end < 0:
-        raise ValueError(f"unclosed '[' in selector: {text}")
-    inside = text[at:end].strip()
-    if inside in ("", "*"):
-        return ALL, end + 1
-    if inside.lstrip("-").isdigit():
-        if int(inside) < 0:
-            raise ValueError("negative indices are not supported")
-        return int(inside), end + 1
-    return inside, end + 1
-
-
 def select(df: DataFrame, column: str, selector: str) -> DataFrame:
     """All matches of a selector in a column of JSON text: the other columns of df
     with ``path`` (as ``a.[0].b``) and ``value`` (JSON text; a JSON null is a match).

@@ -162,7 +162,10 @@ def counts_with_total(df: DataFrame, column: str = "quality_category") -> DataFr
 
 def write_categories(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """One pass that writes each category to ``category=<name>`` below path, at most
-    rows_per_file rows a file.  The category column stays in the files too."""
+    rows_per_file rows a file.  The category column stays in the files too.
+    Categories without rows get an empty folder."""
+    from ..sources import storage
+
     if rows_per_file <= 0:
         raise ValueError("rows_per_file must be positive")
     (
@@ -170,6 +173,8 @@ def write_categories(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FIL
         .write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).option("compression", "zstd")
         .partitionBy("category").parquet(path)
     )
+    for name in CATEGORIES:
+        storage.make_folder(f"{path}/category={name}")
 
 
 def write_counts(df: DataFrame, path: str, column: str = "quality_category") -> dict:

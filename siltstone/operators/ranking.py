@@ -65,3 +65,19 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], by: str) -> DataFr
         same = left[c].eqNullSafe(small[f"_r_{c}"])
         on = same if on is None else on & same
     return left.join(F.broadcast(small), on).drop(*[f"_r_{c}" for c in keys], "_all")
+
+
+def numbered(df: DataFrame, *order: Column | str, name: str = "row_number") -> DataFrame:
+    """df with each row's place from 0 in a total order, without a single-task sort.
+
+    Rows are sorted by range; a row's place is its place in the range behind the
+    rows of the ranges before.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = materialize(ranged.select("*", F.monotonically_increasing_id().alias("_at")), "ranged")
+    part = F.shiftright("_at", 33)  # the id holds the partition above its 33 bits of place
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))  # one row a range
+    sizes = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    rows = ranged.withColumn("_part", part).join(F.broadcast(sizes), "_part")  # as many rows as shuffle partitions
+    return rows.select(*[f"`{c}`" for c in df.columns], (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias(name))

@@ -1,47 +1,53 @@
-"""Driver-side helpers: ranks, paths, models and timing."""
+"""Driver-side helpers: the place of a process among others, parameters, models and timing."""
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import cache
-from pathlib import Path
 from time import perf_counter
 
+from pyspark.sql import SparkSession
+
+from ..sources.storage import separate
+
+__all__ = ["LAUNCHERS", "Meter", "models", "positive", "rank_and_world", "separate"]
+
+
+def _array_ids(env: Mapping[str, str], world: int) -> range:
+    part = lambda name, default: int(env.get(f"SLURM_ARRAY_TASK_{name}", default))
+    step = part("STEP", 1)
+    if step < 1:
+        return range(0)
+    low = part("MIN", 0)
+    return range(low, part("MAX", low + step * (world - 1)) + 1, step)
+
+
+# Variable of a process's id, that of their number, and the ids that there are.
+LAUNCHERS = [
+    ("RANK", "WORLD_SIZE", lambda env, world: range(world)),
+    ("SLURM_ARRAY_TASK_ID", "SLURM_ARRAY_TASK_COUNT", _array_ids),
+]
+
 
 def rank_and_world(env: Mapping[str, str] = os.environ) -> tuple[int, int]:
-    """(rank, world) of a process that shares work by rank.
+    """(rank, world) of a process that shares work by rank, from the first of LAUNCHERS that is set; (0, 1) without one.
 
-    RANK and WORLD_SIZE together, else a contiguous SLURM array, else (0, 1).
-    ValueError if they are incomplete, sparse or out of range.
+    The rank is the id's place among the ids.  ValueError if a variable is
+    missing, the ids are not `world` many (a sparse array) or don't have this one.
     """
-    if "RANK" in env or "WORLD_SIZE" in env:
-        if "RANK" not in env or "WORLD_SIZE" not in env:
-            raise ValueError("RANK and WORLD_SIZE must be set together")
-        rank, world = int(env["RANK"]), int(env["WORLD_SIZE"])
-    elif "SLURM_ARRAY_TASK_ID" in env:
-        world = int(env["SLURM_ARRAY_TASK_COUNT"])
-        step = int(env.get("SLURM_ARRAY_TASK_STEP", 1))
-        low = int(env.get("SLURM_ARRAY_TASK_MIN", 0))
-        high = int(env.get("SLURM_ARRAY_TASK_MAX", low + step * (world - 1)))
-        ids = range(low, high + 1, step) if step > 0 else range(0)
-        task = int(env["SLURM_ARRAY_TASK_ID"])
-        if len(ids) != world or not ids or ids[-1] != high or task not in ids:
-            raise ValueError("a sparse SLURM array needs RANK and WORLD_SIZE")
-        rank = ids.index(task)
-    else:
-        rank, world = 0, 1
-    if not 0 <= rank < world:
-        raise ValueError(f"invalid rank {rank} of {world}")
-    return rank, world
-
-
-def separate(source: str, target: str) -> None:
-    """ValueError if target is source or lies below it."""
-    a, b = Path(source).resolve(), Path(target).resolve()
-    if a == b or a in b.parents:
-        raise ValueError("the output must lie outside of the input")
+    for own, size, ids_of in LAUNCHERS:
+        if own in env or size in env:
+            if not (own in env and size in env):
+                raise ValueError(f"{own} and {size} belong together")
+            world = int(env[size])
+            ids = ids_of(env, world)
+            if len(ids) != world or (size != "WORLD_SIZE" and ids[-1] != int(env.get("SLURM_ARRAY_TASK_MAX", ids[-1]))):
+                raise ValueError("the ids have gaps; set RANK and WORLD_SIZE")
+            return ids.index(int(env[own])), world
+    return 0, 1
 
 
 def positive(**values: int) -> None:
@@ -53,7 +59,7 @@ def positive(**values: int) -> None:
 
 @cache
 def models(path: str | None = None) -> dict:
-    """Manifest of local models, {name: {"kind", "revision", ...}}, from path or MODEL_MANIFEST; empty without one."""
+    """Manifest of local models, {column: {"kind", "path", ...}}, from path or MODEL_MANIFEST; empty without one."""
     path = path or os.environ.get("MODEL_MANIFEST")
     if not path:
         return {}
@@ -61,19 +67,23 @@ def models(path: str | None = None) -> dict:
         return json.load(f)
 
 
-class Timer:
-    """Sum and number of timed blocks."""
+class Meter:
+    """Seconds and calls of named steps inside tasks, added up by Spark's accumulators.
 
-    def __init__(self, unit: str = "batch"):
-        self.unit, self.total, self.count = unit, 0.0, 0
+    As with all accumulators, a task that runs again counts again.
+    """
 
-    def __enter__(self) -> Timer:
-        self._from = perf_counter()
-        return self
+    def __init__(self, spark: SparkSession, names: list[str]):
+        make = spark.sparkContext.accumulator
+        self.sums = {n: (make(0.0), make(0)) for n in names}
 
-    def __exit__(self, *error) -> None:
-        self.total += perf_counter() - self._from
-        self.count += 1
+    @contextmanager
+    def timed(self, name: str) -> Iterator[None]:
+        seconds, calls = self.sums[name]
+        began = perf_counter()
+        yield
+        seconds.add(perf_counter() - began)
+        calls.add(1)
 
-    def __str__(self) -> str:
-        return f"{self.total:.3f} s in {self.count} {self.unit}(s)"
+    def report(self) -> dict[str, dict[str, float]]:
+        return {n: {"seconds": s.value, "calls": c.value} for n, (s, c) in self.sums.items()}

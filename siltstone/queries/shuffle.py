@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import resume, shuffling
+from ..operators.ranking import numbered
 from ..sources import parquet, token_files
 
 PILES, LINES, SEED, WORLD = 16, 50, 7, 4
@@ -40,18 +40,21 @@ def shuffled_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.repartitionById(PILES, "pile").sortWithinPartitions("_order", "doc_id").drop("_order", "pile")
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """(source_file, place) in path order."""
+    files = _table(spark, folder, "classify").select("source_file").filter("source_file is not null").distinct()
+    return numbered(files, F.split("source_file", "/"), name="place")
+
+
 def round_robin_rank(spark: SparkSession, folder: str) -> DataFrame:
     """Rank of each source file when files are dealt out in path order."""
-    files = _table(spark, folder, "classify").select("source_file").filter("source_file is not null").distinct()
-    place = F.row_number().over(W.orderBy(F.split("source_file", "/"))) - 1  # one row a file
-    return files.select("source_file", F.pmod(place, F.lit(WORLD)).cast("int").alias("rank"))
+    return _files(spark, folder).select("source_file", F.pmod("place", F.lit(WORLD)).cast("int").alias("rank"))
 
 
 def block_partition(spark: SparkSession, folder: str) -> DataFrame:
     """The same files in contiguous blocks."""
-    files = _table(spark, folder, "classify").select("source_file").filter("source_file is not null").distinct()
-    place = F.row_number().over(W.orderBy(F.split("source_file", "/"))) - 1
-    return files.select("source_file", shuffling.block_of(place, WORLD, F.count("*").over(W.partitionBy())).alias("block"))
+    files = _files(spark, folder)
+    return files.select("source_file", shuffling.block_of(F.col("place"), WORLD, F.lit(files.count())).alias("block"))
 
 
 def manifest_check(spark: SparkSession, folder: str) -> DataFrame:

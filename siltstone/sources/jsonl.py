@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.records import json_line
+from ..operators.joins import spread_join
+from ..plans.lineage import materialize
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -58,21 +60,36 @@ def infer(lines: DataFrame, column: str = "line") -> str:
 
 
 def numbered(lines: DataFrame, file: str = "file") -> DataFrame:
-    """lines of small files with ``line_number`` from 0 in file order, for inspection.
+    """lines of small files with ``line_number`` from 0 in file order, each file by one task.
 
-    Text sources carry no row index, so each file is numbered by one task, in the
-    order in which a single split delivers its lines.
+    For files that are read in one split; ``numbered_files`` reads files of any size.
     """
     order = F.monotonically_increasing_id()
     tagged = lines.withColumn("_at", order)
     return tagged.withColumn("line_number", F.row_number().over(W.partitionBy(file).orderBy("_at")) - 1).drop("_at")
 
 
+def numbered_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, line, line_number) of files of any size, numbered from 0 in file order.
+
+    A file is read in splits by many tasks.  Lines keep their order within a split,
+    so a line's number is its place in the split behind the lines of the splits before.
+    """
+    rows = spark.read.option("lineSep", "\n").text(paths)
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")]
+    rows = materialize(rows.select(*place, F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line")), "lines")
+    splits = rows.groupBy("file", "split").agg(F.min("_at").alias("_first"), F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1))  # one row a split
+    splits = splits.select("file", "split", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    joined = spread_join(rows, splits, ["file", "split"], by=["_at"])
+    return joined.select("file", "line", (F.col("_at") + F.col("_shift")).alias("line_number"))
+
+
 def line_at(lines: DataFrame, index: int) -> str:
     """The line of a zero-based index of one file; ValueError if negative, out of range or blank."""
     if index < 0:
         raise ValueError("the index must be 0 or more")
-    rows = numbered(lines).filter(F.col("line_number") == index).limit(1).collect()
+    rows = (lines if "line_number" in lines.columns else numbered(lines)).filter(F.col("line_number") == index).limit(1).collect()
     if not rows:
         raise ValueError(f"index {index} is out of range")
     if not rows[0]["line"].strip():

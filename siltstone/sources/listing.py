@@ -1,45 +1,52 @@
-"""Listing of input files on the driver, in component-wise path order."""
+"""Listing of input files by URI, in component-wise path order."""
 
 from __future__ import annotations
 
 import hashlib
-from pathlib import Path, PurePosixPath
+from pathlib import PurePosixPath
+
+from pyarrow import fs
+
+from . import storage
 
 SUPPORTED = (".json", ".traj", ".jsonl", ".jsonl.gz", ".parquet", ".ds")
 UNFINISHED = "_tmp.jsonl.gz"
 
 
+def _by_parts(path: str) -> tuple[str, ...]:
+    return PurePosixPath(path).parts
+
+
 def files(root: str, suffixes: tuple[str, ...], hidden: bool = True, any_case: bool = False) -> list[str]:
     """Relative paths of the files below root with one of the suffixes.
 
     hidden=False leaves out names that begin with ``.`` or ``_`` (of files, not of
     folders); any_case ignores case in the suffix.
     """
-    base = Path(root)
-    if not base.is_dir():
-        raise ValueError(f"no folder: {root}")
-    found = [p.relative_to(base) for p in base.rglob("*") if p.is_file()]
-    fits = lambda n: (n.lower() if any_case else n).endswith(suffixes)
-    found = [p for p in found if fits(p.name) and (hidden or not p.name.startswith((".", "_")))]
-    return [p.as_posix() for p in sorted(found)]
+    found = []
+    for path in storage.below(root):
+        name = path.rpartition("/")[2]
+        if (name.lower() if any_case else name).endswith(suffixes) and (hidden or name[0] not in "._"):
+            found.append(path)
+    return sorted(found, key=_by_parts)
 
 
 def shard(paths: list[str], rank: int, world: int) -> list[str]:
     """Every world-th path from rank on."""
     if world <= 0 or not 0 <= rank < world:
         raise ValueError(f"invalid rank {rank} of {world}")
-    return [p for i, p in enumerate(sorted(paths, key=lambda x: PurePosixPath(x).parts)) if i % world == rank]
+    return sorted(paths, key=_by_parts)[rank::world]
 
 
 def inspectable(root: str) -> list[str]:
     """Files that can be inspected, unfinished ones left out; ValueError if there are none."""
-    path = Path(root)
-    if path.is_dir():
+    kind = storage.kind(root)
+    if kind == fs.FileType.Directory:
         found = [f"{root}/{p}" for p in files(root, SUPPORTED) if not p.endswith(UNFINISHED)]
         if not found:
             raise ValueError("the folder has no suitable files")
         return found
-    if not path.is_file():
+    if kind != fs.FileType.File:
         raise ValueError("the path is neither a file nor a folder")
     if root.endswith(UNFINISHED):
         raise ValueError("the file is an unfinished one")

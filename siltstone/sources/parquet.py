@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -12,32 +11,27 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import PROJECTION, project
+from . import storage
 
 
 def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
     """Paths grouped by equal schema; footers are read in parallel."""
-    rows = footers(spark, paths).select("path", "schema").collect()  # one row a file
-    groups: dict[str, list[str]] = {}
-    for r in sorted(rows):
-        groups.setdefault(r["schema"], []).append(r["path"])
-    return list(groups.values())
+    groups = footers(spark, paths).groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return [r["paths"] for r in groups.orderBy(F.col("paths")[0]).collect()]  # the given paths, one row a schema
 
 
 def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(path, rows, row_groups, schema, created_by) from the footers alone."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(path: str) -> list[dict]:
         import pyarrow.parquet as pq
 
-        for batch in batches:
-            out = []
-            for path in batch["path"]:
-                meta = pq.read_metadata(path)
-                out.append((path, meta.num_rows, meta.num_row_groups, str(meta.schema.to_arrow_schema().remove_metadata()), meta.created_by))
-            yield pd.DataFrame(out, columns=["path", "rows", "row_groups", "schema", "created_by"])
+        system, inner = storage.located(path)
+        meta = pq.read_metadata(inner, filesystem=system)
+        schema = str(meta.schema.to_arrow_schema().remove_metadata())
+        return [{"path": path, "rows": meta.num_rows, "row_groups": meta.num_row_groups, "schema": schema, "created_by": meta.created_by}]
 
-    names = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), 512)))
-    return names.mapInPandas(read, "path string, rows bigint, row_groups int, schema string, created_by string")
+    return storage.by_file(spark, paths, "path string, rows bigint, row_groups int, schema string, created_by string", read)
 
 
 def union_projected(frames: Sequence[DataFrame], wanted: Mapping[str, str] = PROJECTION) -> DataFrame:
@@ -95,7 +89,8 @@ def sample_group(spark: SparkSession, path: str, seed: int = 0, rows: int = 2_00
     """The first rows of one row group of a file, chosen by seed, with their places in the file."""
     import pyarrow.parquet as pq
 
-    meta = pq.read_metadata(path)
+    system, inner = storage.located(path)
+    meta = pq.read_metadata(inner, filesystem=system)
     sizes = [meta.row_group(g).num_rows for g in range(meta.num_row_groups)]
     group = min(range(len(sizes)), key=lambda g: hashlib.md5(f"{seed}:{g}".encode()).hexdigest(), default=0)
     start = sum(sizes[:group])
@@ -107,19 +102,24 @@ def sample_group(spark: SparkSession, path: str, seed: int = 0, rows: int = 2_00
 def write_npy(df: DataFrame, column: str, folder: str) -> None:
     """One ``part-NNNNN.npy`` per non-empty partition with a column's values, in a folder that all executors share."""
 
-    def save(batches):
+    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+
         import numpy as np
         from pyspark import TaskContext
 
         values = [v for b in batches for v in b[column]]
         if values:
-            path = os.path.join(folder, f"part-{TaskContext.get().partitionId():05d}.npy")
-            with open(f"{path}.tmp", "wb") as f:
-                np.save(f, np.array(values))
-            os.replace(f"{path}.tmp", path)
+            content = io.BytesIO()
+            np.save(content, np.array(values))
+            path = f"{folder}/part-{TaskContext.get().partitionId():05d}.npy"
+            system, inner = storage.located(path)
+            with system.open_output_stream(f"{inner}.tmp") as f:
+                f.write(content.getbuffer())
+            system.move(f"{inner}.tmp", inner)
         yield pd.DataFrame({"n": [len(values)]})
 
-    os.makedirs(folder, exist_ok=True)
+    storage.make_folder(folder)
     df.select(column).mapInPandas(save, "n bigint").agg(F.sum("n")).collect()  # one number
 
 

@@ -1,6 +1,6 @@
 import random
 
-from siltstone.operators.ranking import cumulative
+from siltstone.operators.ranking import cumulative, numbered
 
 
 def brute(rows, buckets=None):
@@ -49,3 +49,11 @@ def test_size_checked_broadcast(spark):
     assert broadcast_if_small(df, 4) is df
     assert "strategy=broadcast" in plan(broadcast_if_small(df, 5))
     assert broadcast_if_small(df.limit(0)).count() == 0
+
+
+def test_numbered_is_the_row_number(spark):
+    df = spark.sql("SELECT CAST(hash(id) AS STRING) AS s, if(id % 3 = 0, 1, id) AS hot FROM range(1000)")
+    got = numbered(df, "hot", "s").orderBy("row_number").collect()
+    assert [r["row_number"] for r in got] == list(range(1000))
+    assert [(r["hot"], r["s"]) for r in got] == [(r["hot"], r["s"]) for r in df.orderBy("hot", "s").collect()]
+    assert numbered(df.limit(0), "s").count() == 0

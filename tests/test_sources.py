@@ -143,3 +143,59 @@ def test_row_group_sample_and_arrays(spark, tmp_path):
     assert sorted(int(v) for f in (tmp_path / "npy").iterdir() for v in np.load(f)) == list(range(20))
 
 
+@pytest.mark.parametrize("step", [1, 2, 3, 100])
+def test_token_ranges(spark, tmp_path, step):
+    path = str(tmp_path / "a.ds")
+    token_files.write(path, [0, 5, 6, 0, 7, 0, 0, 8, 9, 9, 9, 9, 0, 4], 2, "tok")
+    docs = [[0], [5, 6, 0], [7, 0], [0], [8, 9, 9, 9, 9, 0], [4]]
+    got = [(r["doc_index"], r["tokens"]) for r in token_files.read(spark, path, 0, range_tokens=step).orderBy("doc_index").collect()]
+    assert got == list(enumerate(docs))
+    assert [r["tokens"] for r in token_files.read(spark, str(tmp_path), 0, first=3).orderBy("doc_index").collect()] == docs[:3]
+
+
+def test_long_streams_by_buckets(spark):
+    df = spark.sql("SELECT id % 2 AS g, id AS o, if(id % 7 = 0, 0, id % 5 + 1) AS t FROM range(2000)")
+    plain = sorted(map(str, token_files.documents_of(df, "g", "o", "t", 0).collect()))
+    assert plain == sorted(map(str, token_files.documents_of(df, "g", "o", "t", 0, window_rows=10).collect()))
+
+
+def test_end_id(tmp_path):
+    (tmp_path / "t.json").write_text('{"model": {"vocab": {"a": 1, "</s>": 2}}, "added_tokens": [{"id": 9, "content": "<|endoftext|>"}]}')
+    assert token_files.end_id("t", str(tmp_path)) == 9
+    (tmp_path / "u.json").write_text('{"model": {"vocab": {"a": 1}}}')
+    for name in ("u", "none"):
+        with pytest.raises(ValueError):
+            token_files.end_id(name, str(tmp_path))
+
+
+def test_numbered_files_of_many_splits(spark, tmp_path):
+    text = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
+    (tmp_path / "a.jsonl").write_text("\n".join(text))
+    (tmp_path / "b.jsonl").write_text("only\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = jsonl.numbered_files(spark, [str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r["line_number"]: r["line"] for r in rows if r["file"].endswith("a.jsonl")} == dict(enumerate(text))
+    assert len(rows) == 3001
+
+
+def test_salvage_of_several_files(spark, damaged, tmp_path):
+    path, _ = damaged
+    pq.write_table(pa.table({"k": [7], "extra": ["x"]}), str(tmp_path / "e.parquet"))
+    (tmp_path / "broken.parquet").write_bytes(b"PAR1 no footer PAR1")
+    paths = [path, str(tmp_path / "e.parquet"), str(tmp_path / "broken.parquet")]
+    rows = recovery.salvage(spark, paths)
+    assert rows.columns == ["k", "v", "extra"] and rows.count() == 4001
+    assert {r["status"]: r["row_groups"] for r in recovery.summary(recovery.report(spark, paths)).collect()} == {"full": 4, "partial": 1, "unreadable": 1}
+    pq.write_table(pa.table({"k": ["text"]}), str(tmp_path / "odd.parquet"))
+    with pytest.raises(ValueError, match="column k"):
+        recovery.salvage(spark, [path, str(tmp_path / "odd.parquet")])
+    assert recovery.check_magic(f"file://{path}")["magic_ok"]
+
+
+def test_no_cap_on_tasks(spark):
+    from siltstone.sources import storage
+
+    assert storage.path_table(spark, [f"/x/{i}" for i in range(64 * 700)]).rdd.getNumPartitions() == 700
