@@ -10,18 +10,18 @@ from pyspark.sql import functions as F
 
 from ..functions import selector
 from ..functions.records import MAX_ITEMS, truncate_text
-from ..operators import quality, shuffling
+from ..operators import quality, scoring
 from ..plans import annotate as plans
-from ..plans.runtime import positive, separate
+from ..plans.runtime import models
 from ..session import build
-from ..sources import jsonl, listing, parquet, recovery, token_files
+from ..sources import jsonl, listing, parquet, recovery, storage, token_files
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="siltstone")
     sub = top.add_subparsers(dest="command", required=True)
     a = sub.add_parser("annotate", help="JSON lines to scored Parquet")
-    a.add_argument("source"), a.add_argument("target")
+    a.add_argument("source"), a.add_argument("target"), a.add_argument("--models", help="manifest of local models; without it stand-ins score")
     c = sub.add_parser("classify", help="scored Parquet to quality categories")
     c.add_argument("source"), c.add_argument("target"), c.add_argument("--breaks-dir"), c.add_argument("--rows-per-file", type=int, default=quality.ROWS_PER_FILE)
     n = sub.add_parser("count", help="rows per folder")
@@ -33,7 +33,9 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("source"), r.add_argument("--target"), r.add_argument("--keep-bad-columns", action="store_true")
     i = sub.add_parser("inspect", help="print one record or a selection of it")
     i.add_argument("source"), i.add_argument("selector", nargs="?"), i.add_argument("-i", "--index", type=int), i.add_argument("--seed", type=int, default=0)
-    i.add_argument("--eos", type=int, help="end id of token files")
+    i.add_argument("--eos", type=int, help="end id of token files"), i.add_argument("--tokenizers", help="folder of tokenizer files that the end id is looked up in")
+    i.add_argument("-I", "--interactive", action="store_true", help="sample again and again until q is entered")
+    i.add_argument("-v", "--verbose", action="store_true", help="print what was chosen to the error stream")
     i.add_argument("--full", action="store_true", help="don't shorten texts and lists")
     return top
 
@@ -48,9 +50,11 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def run_annotate(args) -> int:
-    separate(args.source, args.target)
-    paths = [f"{args.source}/{p}" for p in listing.files(args.source, (".jsonl", ".jsonl.gz"))]
-    plans.annotate_files(build(), paths, args.target)
+    registry = scoring.from_manifest(models(args.models)) if args.models else None
+    try:
+        plans.annotate_files(build(), args.source, args.target, registry)
+    except RuntimeError as e:  # files that failed, the others are done
+        raise ValueError(e) from None
     return 0
 
 
@@ -72,17 +76,7 @@ def run_count(args) -> int:
 
 
 def run_shuffle(args) -> int:
-    separate(args.source, args.target)
-    positive(piles=args.piles, lines=args.lines)
-    df = build().read.option("recursiveFileLookup", True).parquet(args.source)
-    if args.key is None:  # a row is named by its file and place in it
-        names = df.columns
-        df = df.select("*", F.concat_ws("#", F.col("_metadata.file_path"), F.format_string("%020d", F.col("_metadata.row_index"))).alias("_row_name"))
-        shuffled = shuffling.with_pile(df, "_row_name", args.piles, args.seed).withColumn("_order", shuffling.xx(args.seed, "order", F.col("_row_name")))
-        shuffled = shuffled.repartitionById(args.piles, "pile").sortWithinPartitions("_order", "_row_name").select(*[f"`{c}`" for c in names])
-        jsonl.write(shuffled, args.target, args.lines)
-    else:
-        shuffling.write_shards(df, args.target, args.key, args.piles, args.lines, args.seed)
+    print(json.dumps(plans.shuffle_files(build(), args.source, args.target, args.piles, args.lines, args.seed, args.key)))
     return 0
 
 
@@ -99,23 +93,55 @@ def run_salvage(args) -> int:
 
 
 def run_inspect(args) -> int:
+    if args.index is not None and args.interactive:
+        raise ValueError("an index and --interactive exclude each other")
+    if args.index is not None and args.index < 0:
+        raise ValueError("the index must be 0 or more")
+    if args.index is not None and listing.inspectable(args.source) != [args.source]:
+        raise ValueError("an index needs a file, not a folder")
     spark = build()
     path = listing.pick(args.source, args.seed) if args.index is None else args.source
+    if args.verbose:
+        print(json.dumps({"arguments": vars(args), "file": path, "from_folder": path != args.source}, indent=2, sort_keys=True), file=sys.stderr)
     if path.endswith(".ds"):
-        if args.index is not None:
-            raise ValueError("token files can't be read by index")
-        if args.eos is None:
-            raise ValueError("a token file needs --eos, the id that ends a document")
-        for row in token_files.records(spark, path, args.eos).orderBy("doc_index").collect():  # the first ten
-            print(json.dumps(row.asDict()))
+        _print_tokens(spark, path, args)
         return 0
-    number, record = _record(spark, path, args.index, args.seed)
-    out = {}
+    seed = args.seed
+    while True:
+        found = _print_record(spark, path, args, seed)
+        if not args.interactive:
+            if not found:
+                raise ValueError("the selector matches nothing")
+            return 0
+        if not found:
+            print("the selector matches nothing in this record")
+        print("Enter for another record, q to quit")
+        answer = sys.stdin.readline()
+        if not answer or answer.strip().lower() == "q":
+            return 0
+        seed += 1
+
+
+def _print_tokens(spark, path: str, args) -> None:
+    """The first ten documents of a token file."""
+    if args.index is not None:
+        raise ValueError("token files can't be read by index")
+    name = token_files.metadata(path)[0]
+    if args.eos is None and not (name and args.tokenizers):
+        raise ValueError("a token file needs --eos, or --tokenizers and a tokenizer's name in its metadata")
+    eos = args.eos if args.eos is not None else token_files.end_id(name, args.tokenizers)
+    for row in token_files.records(spark, path, eos).orderBy("doc_index").collect():
+        print(json.dumps(row.asDict()))
+
+
+def _print_record(spark, path: str, args, seed: int) -> bool:
+    """One record, or the parts that the selector names; False if it names none."""
+    number, record = _record(spark, path, args.index, seed)
     if args.selector:
         rows = spark.createDataFrame([(json.dumps(record),)], "json string")
         matches = selector.select(rows, "json", args.selector).collect()  # parts of one record
         if not matches:
-            raise ValueError("the selector matches nothing")
+            return False
         out = {m["path"]: json.loads(m["value"]) for m in matches}
     else:
         out = dict(record) if isinstance(record, dict) else {"data": record}
@@ -126,7 +152,7 @@ def run_inspect(args) -> int:
         elif isinstance(value, str) and not args.full:
             value = spark.range(1).select(truncate_text(F.lit(value)).alias("t")).first()["t"]
         print(f"{where}\n{value}")
-    return 0
+    return True
 
 
 class _Rest:
@@ -155,13 +181,14 @@ def _record(spark, path: str, index: int | None, seed: int):
         value.pop("file")
         return value.pop("line_number"), json.loads(json.dumps(value, default=str))
     if path.endswith((".jsonl", ".jsonl.gz")):
-        lines = jsonl.read_lines(spark, path)
+        lines = jsonl.numbered_files(spark, path)
         if index is not None:
             return index, json.loads(jsonl.line_at(lines, index))
-        row = parquet.sample_one(jsonl.numbered(lines).filter("trim(line) != ''"), "line_number", seed).first()
+        row = parquet.sample_one(lines.filter("trim(line) != ''"), "line_number", seed).first()
+        if row is None:
+            raise ValueError("the file is empty")
         return row["line_number"], json.loads(row["line"])
-    with open(path, encoding="utf-8") as f:
-        value = json.load(f)
+    value = json.loads(storage.read_text(path))
     if index is None:
         return None, value
     if not isinstance(value, list) or not 0 <= index < len(value):

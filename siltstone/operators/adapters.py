@@ -179,19 +179,8 @@ def choice(path: Column) -> Column:
     return F.coalesce(*[F.when(F.contains(low, F.lit(part)), F.lit(name)) for part, name in PATH_PARTS])
 
 
-def flat(value: dict) -> dict:
-    """One level of objects opened to ``parent.child``, later duplicates win."""
-    out = {}
-    for k, v in value.items():
-        if isinstance(v, dict):
-            out.update((f"{k}.{c}", x) for c, x in v.items())
-        else:
-            out[k] = v
-    return out
-
-
 def _flat_for(value: dict, columns: set[str]) -> dict:
-    """flat, but objects that a declared column takes whole stay whole."""
+    """One level of objects opened to ``parent.child``, later duplicates win; objects that a declared column takes whole stay whole."""
     out = {}
     for k, v in value.items():
         if isinstance(v, dict) and k not in columns:

@@ -58,6 +58,9 @@ class ItemTask:
         return worked
 
 
+STATUS = "source_file string, rows bigint, failed bigint, first_error string, noted_at timestamp"
+
+
 def file_status(df: DataFrame, file: str, error: str) -> DataFrame:
     """(file, rows, failed, first_error) of a frame that carries each row's file and error."""
     return df.groupBy(file).agg(F.count("*").alias("rows"), F.count(error).alias("failed"), F.min(error).alias("first_error"))

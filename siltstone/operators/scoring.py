@@ -1,17 +1,17 @@
 """Model scores as columns: a registry of scorers over prompts.
 
-A scorer is a factory, called once per worker process, that returns a function
-from a list of prompts to a list of values.  All scorers of a request run in one
-Arrow step, so texts cross to Python once.  Published weights are not part of
-this library: scorers of such models load only from local files given by the
-user.  The lexical scorers below are stand-ins with the same contracts (types,
-prompts, nulls); their values are not those models'.
+A scorer is a factory, called once per task, that returns a function from a list
+of prompts to a list of values.  All scorers of a request run in one
+Arrow step, so texts cross to Python once.  Models are local files named by a
+manifest; nothing is ever fetched.  A column whose model is missing is null.
+``lexical`` has stand-ins for runs without any model: statistics of a text's
+signs as JVM expressions, with the columns and types of the models but not their
+values.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -19,20 +19,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import argmax, one_line, prompt
+from ..plans.runtime import Meter
 
 Scorer = Callable[[], Callable[[list], list]]
 
 
 @dataclass(frozen=True)
 class Output:
-    """One score column: its Spark type, the prompt it reads and how it is made."""
+    """One score column: its Spark type, the prompt it reads and how it is made, by a factory or as an expression."""
 
     column: str
     kind: str
-    factory: Scorer
+    factory: Scorer | None = None
     with_url: bool = False
     single_line: bool = False
-    max_words: int | None = None
+    expression: Callable[[Column], Column] | None = None
 
 
 @dataclass
@@ -45,50 +46,70 @@ class Registry:
         self.outputs[output.column] = output
 
 
-_loaded: dict[str, Callable] = {}
+@dataclass(frozen=True)
+class Contract:
+    """What a column's model must give: Spark type, longest input in tokens, kind of result, prompt."""
+
+    kind: str
+    result: str
+    max_tokens: int | None = None
+    with_url: bool = False
+    single_line: bool = False
+    label: str | None = None
 
 
-def score(df: DataFrame, registry: Registry, text: str = "text", url: str | None = None, columns: list[str] | None = None) -> DataFrame:
+# The contracts of the six annotation columns.
+CONTRACTS = {
+    "TopicClassifier": Contract("bigint", "class", 8192, with_url=True),
+    "FormatClassifier": Contract("bigint", "class", 8192, with_url=True),
+    "fineweb_edu_classifier_score": Contract("float", "logit", 512),
+    "jais_token_count": Contract("bigint", "tokens"),
+    "fasttext_eli5_score": Contract("float", "label", single_line=True, label="__label__hq"),
+    "fasttext_preselect_score": Contract("float", "label", single_line=True, label="__label__1"),
+}
+BATCH = 8  # prompts that a model reads at once
+
+
+
+def score(df: DataFrame, registry: Registry, text: str = "text", url: str | None = None, columns: list[str] | None = None, meter: Meter | None = None) -> DataFrame:
     """df with a column per registered output (or of `columns`; names without a
-    scorer become null doubles).  A null text scores null; older columns so named are replaced."""
+    scorer become nulls of the column's type).  A null text scores null; older
+    columns so named are replaced.  meter sums up the seconds of each scorer."""
     wanted = columns or list(registry.outputs)
-    outputs = [registry.outputs[c] for c in wanted if c in registry.outputs]
+    known = [registry.outputs[c] for c in wanted if c in registry.outputs]
+    outputs = [o for o in known if o.factory is not None]
     body = F.col(f"`{text}`")
 
     def source(o: Output) -> Column:
         value = prompt(body, F.col(f"`{url}`") if url else F.lit("")) if o.with_url else body
         return one_line(value) if o.single_line else value
 
+    cells = {o.column: o.expression(source(o)).cast(o.kind) for o in known if o.factory is None}
+    cells |= {c: F.lit(None).cast(CONTRACTS[c].kind if c in CONTRACTS else "double") for c in wanted if c not in registry.outputs}
     df = df.drop(*wanted)
     if outputs:
         schema = ", ".join(f"`{o.column}` {o.kind}" for o in outputs)
 
         @F.pandas_udf(schema)
         def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-            for o in outputs:
-                if o.column not in _loaded:
-                    _loaded[o.column] = o.factory()
+            scorers = [o.factory() for o in outputs]
             for batch in batches:
-                cells = {}
-                for o, prompts in zip(outputs, batch):
+                found = {}
+                for o, scorer, prompts in zip(outputs, scorers, batch):
                     present = prompts.notna().to_numpy()
-                    texts = [_cut(p, o.max_words) for p in prompts[present]]
                     values = pd.Series([None] * len(prompts), dtype=object)
-                    values[present] = pd.Series(_loaded[o.column](texts) if texts else [], dtype=object, index=values.index[present])
-                    cells[o.column] = values
-                yield pd.DataFrame(cells)
+                    texts = list(prompts[present])
+                    if texts and meter is not None:
+                        with meter.timed(o.column):
+                            values[present] = scorer(texts)
+                    elif texts:
+                        values[present] = scorer(texts)
+                    found[o.column] = values
+                yield pd.DataFrame(found)
 
         df = df.withColumn("_scores", run(*[source(o) for o in outputs]))
-        df = df.select("*", *[F.col("_scores")[o.column].alias(o.column) for o in outputs]).drop("_scores")
-    return df.withColumns({c: F.lit(None).cast("double") for c in wanted if c not in registry.outputs})
-
-
-def _cut(text: str, words: int | None) -> str:
-    """What a model of bounded input length reads; scores alone are cut, never stored texts."""
-    if words is None:
-        return text
-    found = [m.end() for _, m in zip(range(words), re.finditer(r"\S+", text))]
-    return text[: found[-1]] if len(found) == words else text
+        cells |= {o.column: F.col("_scores")[o.column] for o in outputs}
+    return df.withColumns({c: cells[c] for c in wanted}).drop("_scores")
 
 
 def class_of(logits: Column) -> Column:
@@ -96,20 +117,75 @@ def class_of(logits: Column) -> Column:
     return argmax(logits).cast("bigint")
 
 
-# --- lexical stand-ins -----------------------------------------------------
+def column_of(model: str) -> str:
+    """Column of a model's scores: what follows the last slash of its name, unless COLUMNS says otherwise."""
+    return COLUMNS.get(model) or model.rpartition("/")[2]
+
+
+# Models whose column isn't the last part of their name.
+COLUMNS = {
+    "HuggingFaceTB/fineweb-edu-classifier": "fineweb_edu_classifier_score",
+    "core42/jais-13b": "jais_token_count",
+    "mlfoundations/fasttext-oh-eli5": "fasttext_eli5_score",
+    "hkust-nlp/preselect-fasttext-classifier": "fasttext_preselect_score",
+}
+
+
+def from_manifest(models: Mapping[str, Mapping]) -> Registry:
+    """Scorers of the models of a manifest {model: {"kind", "path", "tokenizer", ...}}, by the contracts of their columns.
+
+    kind is transformers (an ONNX file with a tokenizer file), tokenizer or
+    fasttext.  Models without a path are left out, so their columns become null;
+    an unknown kind or column is an error.
+    """
+    registry = Registry()
+    for name, entry in models.items():
+        if not entry.get("path"):
+            continue
+        column = column_of(name)
+        if column not in CONTRACTS:
+            raise ValueError(f"no contract for the column {column} of {name}")
+        c = CONTRACTS[column]
+        makers = {
+            "transformers": lambda: transformer(entry["path"], entry["tokenizer"], c.max_tokens, c.result, entry.get("batch", BATCH)),
+            "tokenizer": lambda: token_count(entry["path"]),
+            "fasttext": lambda: fasttext(entry["path"], c.label),
+        }
+        if entry.get("kind") not in makers:
+            raise ValueError(f"unknown kind of model: {entry.get('kind')}")
+        registry.add(Output(column, c.kind, makers[entry["kind"]](), c.with_url, c.single_line))
+    return registry
+
+
+def transformer(path: str, tokenizer: str, max_tokens: int | None, result: str, batch: int = BATCH) -> Scorer:
+    """A classifier in an ONNX file with inputs input_ids and perhaps attention_mask, and logits as its first output.
+
+    The first max_tokens tokens are read, `batch` prompts at once, padded to the
+    longest.  result is ``class`` (the first maximum) or ``logit`` (the first one).
+    """
 
-
-def _classes(n: int) -> Scorer:
     def factory():
-        import zlib
-
-        def run(texts):
+        import numpy as np
+        import onnxruntime
+        from tokenizers import Tokenizer
+
+        options = onnxruntime.SessionOptions()
+        options.intra_op_num_threads = 1  # tasks share the cores
+        session = onnxruntime.InferenceSession(path, options, providers=["CPUExecutionProvider"])
+        inputs = {i.name for i in session.get_inputs()}
+        reader = Tokenizer.from_file(tokenizer)
+        reader.enable_padding()
+        if max_tokens:
+            reader.enable_truncation(max_tokens)
+
+        def run(texts: list[str]) -> list:
             out = []
-            for t in texts:
-                votes = [0] * n
-                for w in re.findall(r"\w+", t.lower()):
-                    votes[zlib.crc32(w.encode()) % n] += 1
-                out.append(votes.index(max(votes)))
+            for at in range(0, len(texts), batch):
+                read = reader.encode_batch(texts[at : at + batch])
+                feed = {"input_ids": np.array([e.ids for e in read], dtype=np.int64), "attention_mask": np.array([e.attention_mask for e in read], dtype=np.int64)}
+                (logits, *_) = session.run(None, {k: v for k, v in feed.items() if k in inputs})
+                logits = np.asarray(logits).reshape(len(read), -1)
+                out += logits.argmax(axis=1).tolist() if result == "class" else logits[:, 0].astype(float).tolist()
             return out
 
         return run
@@ -117,36 +193,16 @@ def _classes(n: int) -> Scorer:
     return factory
 
 
-def _density(low: float, high: float, pattern: str) -> Scorer:
-    def factory():
-        find = re.compile(pattern).findall
-
-        def run(texts):
-            return [low + (high - low) * min(1.0, len(find(t)) / (1 + len(t.split()))) for t in texts]
-
-        return run
-
-    return factory
+def token_count(tokenizer: str) -> Scorer:
+    """Tokens of each whole text under a tokenizer file, and one for its end."""
 
-
-def _pieces() -> Scorer:
     def factory():
-        split = re.compile(r"\w+|[^\w\s]").findall
-        return lambda texts: [sum((len(p) + 4) // 5 for p in split(t)) + 1 for t in texts]
-
-    return factory
+        from tokenizers import Tokenizer
 
+        reader = Tokenizer.from_file(tokenizer)
+        return lambda texts: [len(e.ids) + 1 for e in reader.encode_batch(texts, add_special_tokens=False)]
 
-def lexical() -> Registry:
-    """Deterministic stand-ins for the six annotation columns."""
-    r = Registry()
-    r.add(Output("TopicClassifier", "bigint", _classes(24), with_url=True, max_words=8192))
-    r.add(Output("FormatClassifier", "bigint", _classes(24), with_url=True, max_words=8192))
-    r.add(Output("fineweb_edu_classifier_score", "float", _density(0.0, 3.0, r"\b\w{9,}\b"), max_words=512))
-    r.add(Output("jais_token_count", "bigint", _pieces()))
-    r.add(Output("fasttext_eli5_score", "float", _density(0.0, 1.0, r"\b(?:because|why|how|what)\b"), single_line=True))
-    r.add(Output("fasttext_preselect_score", "float", _density(0.0, 1.0, r"\b\w{7,}\b"), single_line=True))
-    return r
+    return factory
 
 
 def fasttext(path: str, label: str) -> Scorer:
@@ -164,3 +220,30 @@ def fasttext(path: str, label: str) -> Scorer:
         return run
 
     return factory
+
+
+# --- stand-ins -------------------------------------------------------------
+
+SIGNS = "etaoinshrdlucmfwypvbgkjq"  # sign k votes for class k
+
+
+def _count(text: Column, signs: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, signs, ""))
+
+
+def _share(signs: str, top: float) -> Callable[[Column], Column]:
+    return lambda text: _count(text, signs) * F.lit(top) / (1 + F.length(text))
+
+
+def lexical() -> Registry:
+    """Deterministic stand-ins for the six annotation columns, over whole texts."""
+    r = Registry()
+    votes = lambda text: argmax(F.array(*[_count(text, s) for s in SIGNS]))
+    ends = lambda text: argmax(F.array(*[_count(text, s) for s in reversed(SIGNS)]))
+    r.add(Output("TopicClassifier", "bigint", with_url=True, expression=votes))
+    r.add(Output("FormatClassifier", "bigint", with_url=True, expression=ends))
+    r.add(Output("fineweb_edu_classifier_score", "float", expression=_share("bcdfgmpvw", 9.0)))
+    r.add(Output("jais_token_count", "bigint", expression=lambda text: F.floor(F.length(text) / 4) + 1))
+    r.add(Output("fasttext_eli5_score", "float", single_line=True, expression=_share("aeiou", 1.0)))
+    r.add(Output("fasttext_preselect_score", "float", single_line=True, expression=_share("nrstl", 1.0)))
+    return r

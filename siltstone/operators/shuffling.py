@@ -9,10 +9,10 @@ need not fit in memory.
 
 from __future__ import annotations
 
-import json
+import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -111,16 +111,17 @@ def check_manifests(manifests: DataFrame, run: str = "run_id") -> DataFrame:
     )
 
 
-def write_manifest(path: str, rank: int, world: int, piles: int, empty: bool) -> None:
-    """Completion marker of one run as JSON, written aside and renamed."""
-    import os
+def parts_on_disk(spark: SparkSession, path: str) -> DataFrame:
+    """(pile, part) of the shards below path, by their names: partition id is pile id."""
+    from ..sources import storage
 
-    with open(f"{path}.tmp", "w", encoding="utf-8") as f:
-        json.dump({"rank": rank, "world_size": world, "num_piles": piles, "empty": empty}, f)
-    os.replace(f"{path}.tmp", path)
+    found = [m for p in storage.below(path) if (m := re.fullmatch(r"part-(\d+)-.*?-c(\d+)\..*", p))]
+    return spark.createDataFrame([(int(m[1]), int(m[2])) for m in found], "pile int, part int")
 
 
-def same_schema(first: DataFrame, other: DataFrame) -> bool:
-    """Names, types and nullability equal, metadata aside."""
-    plain = lambda df: [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return plain(first) == plain(other)
+def wrong_parts(sizes: DataFrame, parts: DataFrame, lines: int) -> DataFrame:
+    """(pile, expected, found) of piles whose shards aren't exactly those that their rows need."""
+    expected = sizes.select("pile", F.ceil(F.col("n") / F.lit(lines)).cast("bigint").alias("expected"))
+    found = parts.groupBy("pile").agg(F.count_distinct("part").alias("found"), F.max("part").alias("_last"))
+    both = expected.join(found, "pile", "full_outer").fillna(0, ["expected", "found"])
+    return both.filter("expected != found or _last + 1 != found").drop("_last")

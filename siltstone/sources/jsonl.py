@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +25,11 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
 
 
+def is_object(value: Column) -> Column:
+    """Whether a line is a JSON object; false for null and blank ones."""
+    return F.coalesce(F.try_parse_json(value).isNotNull() & F.ltrim(value).startswith("{"), F.lit(False))
+
+
 def strict(lines: DataFrame, column: str = "line") -> DataFrame:
     """lines with ``record`` (VARIANT); a blank, malformed or non-object line is an error."""
     value = F.col(f"`{column}`")
