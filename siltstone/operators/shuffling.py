@@ -10,7 +10,7 @@ need not fit in memory.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -59,17 +59,21 @@ def pile_sizes(df: DataFrame, key: str, piles: int, seed: int = 0, hashed: Hash
     return with_pile(df, key, piles, seed, hashed).groupBy("pile").agg(F.count("*").alias("n"))
 
 
-def write_shards(df: DataFrame, path: str, key: str, piles: int, lines: int = 100_000, seed: int = 0, compression: str = "none") -> None:
-    """JSONL shards of at most `lines` rows; no shard holds rows of two piles.
+def laid_out(df: DataFrame, key: str, piles: int, seed: int = 0, hashed: Hash = xx) -> DataFrame:
+    """df with ``pile``: partition id is pile id, and each partition is in its pile's order."""
+    rows = with_pile(df, key, piles, seed, hashed).withColumn("_order", hashed(seed, "order", F.col(f"`{key}`")))
+    return rows.repartitionById(piles, "pile").sortWithinPartitions("_order", F.col(f"`{key}`")).drop("_order")
 
-    Partition id is pile id, so a file's name carries its pile and number.
-    Nothing is dropped or deduplicated; an existing path is an error.
+
+def write_shards(df: DataFrame, path: str, key: str, piles: int, lines: int = 100_000, seed: int = 0, compression: str = "none", columns: Sequence[str] | None = None) -> None:
+    """JSONL shards of at most `lines` rows of the columns; no shard holds rows of two piles.
+
+    A file's name carries its pile and number.  Nothing is dropped or
+    deduplicated; an existing path is an error.
     """
     if lines <= 0:
         raise ValueError("lines must be positive")
-    order = xx(seed, "order", F.col(f"`{key}`"))
-    rows = with_pile(df, key, piles, seed).withColumn("_order", order).withColumn("value", json_line(df))
-    rows = rows.repartitionById(piles, "pile").sortWithinPartitions("_order", F.col(f"`{key}`")).select("value")
+    rows = laid_out(df.withColumn("value", json_line(df, columns)), key, piles, seed).select("value")
     rows.write.mode("errorifexists").option("maxRecordsPerFile", lines).option("compression", compression).text(path)
 
 

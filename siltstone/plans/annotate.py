@@ -7,7 +7,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.records import json_line
 from ..operators import adapters, quality, resume, scoring, shuffling
 from ..sources import jsonl, listing, parquet, storage
 from .runtime import positive, separate
@@ -113,11 +112,9 @@ def shuffle_files(spark: SparkSession, source: str, target: str, piles: int, lin
     if key is None:
         key = "_row_name"
         df = df.select("*", F.concat_ws("#", F.col("_metadata.file_path"), F.format_string("%020d", F.col("_metadata.row_index"))).alias(key))
-    rows = shuffling.with_pile(df, key, piles, seed).withColumn("_order", shuffling.xx(seed, "order", F.col(f"`{key}`"))).withColumn("value", json_line(df.select(*[f"`{c}`" for c in names])))
-    rows = rows.repartitionById(piles, "pile").sortWithinPartitions("_order", f"`{key}`").select("value")
     empty = df.isEmpty()
     if not empty:
-        rows.write.mode("errorifexists").option("maxRecordsPerFile", lines).text(target)
+        shuffling.write_shards(df, target, key, piles, lines, seed, columns=names)
         wrong = shuffling.wrong_parts(shuffling.pile_sizes(df, key, piles, seed), shuffling.parts_on_disk(spark, target), lines).limit(20).collect()
         if wrong:
             raise ValueError("shards don't fit their piles: " + ", ".join(f"pile {r['pile']} has {r['found']} of {r['expected']}" for r in wrong))

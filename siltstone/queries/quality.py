@@ -31,8 +31,11 @@ def final_bucket_category(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def classify_projection(spark: SparkSession, folder: str) -> DataFrame:
+    """The typed columns; a NaN score, which no comparison finds equal to itself, is shown as null with a flag."""
     rows, _ = _classified(spark, folder)
     out = quality.project(rows, keep=["row_id"])
+    for s in quality.SCORES:
+        out = out.withColumn(f"{s}_is_nan", F.coalesce(F.isnan(s), F.lit(False))).withColumn(s, F.when(~F.isnan(s), F.col(s)))
     return out.toDF(*[c.replace(".", "_") for c in out.columns])
 
 
@@ -47,8 +50,10 @@ def counts_with_total(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def per_category_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of each of the six categories; the filters exclude each other, so one pass serves all."""
     rows, breaks = _classified(spark, folder)
-    return quality.classify(rows.select("row_id", *quality.SCORES), breaks).filter("quality_category = 'Medium-High'").select("row_id", "final_bucket")
+    found = quality.classify(rows.select("row_id", *quality.SCORES), breaks)
+    return found.filter(F.col("quality_category").isin(quality.CATEGORIES)).select("row_id", "final_bucket", F.col("quality_category").alias("category"))
 
 
 def hetero_union(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,13 +83,18 @@ ORACLE_SQL = {
     "bucket_scores": _BUCKETED,
     "bucket_scores_published": "SELECT row_id, " + ", ".join(map(_published_sql, quality.SCORES)) + " FROM classify c",
     "final_bucket_category": _FINAL,
-    "classify_projection": """SELECT row_id, text, coalesce(subset, 'unknown') AS subset, FormatClassifier, TopicClassifier, fineweb_edu_classifier_score,
-        fasttext_eli5_score, fasttext_preselect_score, jais_token_count, "meta.token_count" AS meta_token_count, "meta.lang" AS meta_lang,
+    "classify_projection": """SELECT row_id, text, coalesce(subset, 'unknown') AS subset, FormatClassifier, TopicClassifier,
+        CASE WHEN NOT isnan(fineweb_edu_classifier_score) THEN fineweb_edu_classifier_score END AS fineweb_edu_classifier_score,
+        CASE WHEN NOT isnan(fasttext_eli5_score) THEN fasttext_eli5_score END AS fasttext_eli5_score,
+        CASE WHEN NOT isnan(fasttext_preselect_score) THEN fasttext_preselect_score END AS fasttext_preselect_score,
+        coalesce(isnan(fineweb_edu_classifier_score), false) AS fineweb_edu_classifier_score_is_nan,
+        coalesce(isnan(fasttext_eli5_score), false) AS fasttext_eli5_score_is_nan,
+        coalesce(isnan(fasttext_preselect_score), false) AS fasttext_preselect_score_is_nan, jais_token_count, "meta.token_count" AS meta_token_count, "meta.lang" AS meta_lang,
         "meta.lang_score" AS meta_lang_score FROM classify""",
     "category_counts": f"SELECT quality_category AS category, count(*) AS n FROM ({_FINAL}) GROUP BY 1",
     "counts_with_total": f"""WITH f AS ({_FINAL}), names(category) AS (VALUES ('High'), ('Medium-High'), ('Medium'), ('Medium-Low'), ('Low'), ('Unknown'))
         SELECT category, (SELECT count(*) FROM f WHERE quality_category = category) AS n FROM names UNION ALL SELECT 'TOTAL', count(*) FROM f""",
-    "per_category_filter": f"SELECT row_id, final_bucket FROM ({_FINAL}) WHERE quality_category = 'Medium-High'",
+    "per_category_filter": f"SELECT row_id, final_bucket, quality_category AS category FROM ({_FINAL})",
     "hetero_union": """SELECT text, coalesce(subset, 'unknown') AS subset, TopicClassifier, fasttext_eli5_score, "meta.lang" AS meta_lang FROM classify
         UNION ALL SELECT text, 'unknown', NULL, NULL, lang FROM documents""",
 }

@@ -104,13 +104,14 @@ def truncate_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def record_decoration(spark: SparkSession, folder: str) -> DataFrame:
-    rows = parquet.with_row_number(_table(spark, folder, "keep_targets").coalesce(1)).drop("file")
-    return records.decorate(rows, "keep_targets.parquet", F.col("line_number"))
+    rows = parquet.with_row_number(_table(spark, folder, "classify")).select("row_id", "text", F.lit("older").alias("filename"), "line_number")
+    return records.decorate(rows, "classify.parquet", F.col("line_number"))
 
 
 def jsonl_rows(spark: SparkSession, folder: str) -> DataFrame:
-    nation = _table(spark, folder, "nation")
-    return nation.select("n_nationkey", records.json_line(nation.select("n_nationkey", "n_name", F.lit(None).cast("string").alias("note")), ["n_nationkey", "n_name"]).alias("line"))
+    """Each document as a JSON line, with its texts, nulls and numbers."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars", "title")
+    return docs.select("doc_id", records.json_line(docs).alias("line"))
 
 
 def jsonl_strict(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,6 +143,27 @@ def _adapted(name: str, more: tuple[str, ...] = ()):
     return query
 
 
+def adapter_structs(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with planted objects, some of the wrong shape, under the adapters that type objects."""
+    rows = _table(spark, folder, "classify").select("row_id", "subset")
+    quoted = F.when(F.col("subset").isNull(), "null").otherwise(F.concat(F.lit('"'), "subset", F.lit('"')))
+    number = F.col("row_id").cast("string")
+    pick = lambda part, yes, no: F.when(F.col("row_id") % part == 0, yes).otherwise(no)
+    hplt = F.concat(
+        F.lit('{"text": "t", "meta": {"hplt_attr": {"c": '), pick(5, F.lit("7"), quoted), F.lit(', "o": '), pick(3, F.lit('"x"'), number),
+        F.lit(', "doc_scores": ['), (F.col("row_id") % 7).cast("string"), F.lit(', "x", null], "pii": '), pick(4, F.concat(F.lit("[["), number, F.lit("]]")), F.concat(F.lit("[[["), number, F.lit("]]]"))),
+        F.lit(', "seg_langs": ["en", 2]}}}'),
+    )
+    s2orc = F.concat(F.lit('{"meta": {"openaccessinfo": {"externalids": {"DOI": '), pick(2, number, F.concat(F.lit('"doi-'), number, F.lit('"'))), F.lit('}, "status": '), pick(6, F.lit("[1]"), F.lit('"open"')), F.lit("}}}"))
+    web = F.concat(F.lit('{"meta": {"dup_signals": {"dup_doc_count": '), pick(3, F.concat(F.lit('"'), number, F.lit('"')), number), F.lit('}, "media": '), pick(3, F.concat(F.lit("["), (F.col("row_id") % 11).cast("string"), F.lit(', "x"]')), F.lit('{"no": 1}')), F.lit("}}"))
+    one = lambda line, adapter: adapters.apply(rows.select("row_id", line.alias("line")), adapter)
+    a = one(hplt, adapters.HPLT).select("row_id", *[F.col("`meta.hplt_attr`")[c].alias(c) for c in ("c", "o", "doc_scores", "seg_langs")], F.col("`meta.hplt_attr`")["pii"][0][0][0].cast("string").alias("pii"))
+    b = one(s2orc, adapters.S2ORC).select("row_id", F.col("`meta.openaccessinfo`")["externalids"]["DOI"].alias("doi"), F.col("`meta.openaccessinfo`")["status"].alias("status"))
+    c = one(web, adapters.MEGAMATH).select("row_id", F.col("`meta.dup_signals`")["dup_doc_count"].alias("dup_megamath"), F.col("`meta.media`").alias("media"))
+    d = one(web, adapters.USPTO).select("row_id", F.col("`meta.dup_signals`")["dup_doc_count"].alias("dup_uspto"))
+    return a.join(b, "row_id").join(c, "row_id").join(d, "row_id")
+
+
 def lexical_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The annotation columns by stand-in scorers."""
     rows = _table(spark, folder, "classify").select("row_id", "text", F.col("`meta.url`").alias("url"))
@@ -153,10 +175,31 @@ QUERIES = {
     for f in (
         flatten_props, topic_prompt, first_message_text, clean_for_linear_model, argmax_logits, adapter_choice, selector_key, selector_index,
         selector_wildcard, selector_quoted, selector_null, leaf_walk, truncate_text, truncate_list, record_decoration, jsonl_rows, jsonl_strict,
-        jsonl_lenient, _adapted("hplt"), _adapted("s2orc"), _adapted("megamath"), _adapted("philpapers"), _adapted("uspto", ("meta.url", "meta.title")), lexical_scores,
+        jsonl_lenient, _adapted("hplt"), _adapted("s2orc"), _adapted("megamath"), _adapted("philpapers"), _adapted("uspto", ("meta.url", "meta.title")), adapter_structs, lexical_scores,
     )
 }
 
+def _votes(text: str, signs: str) -> str:
+    counts = ", ".join(f"length({text}) - length(translate({text}, '{x}', ''))" for x in signs)
+    return f"CASE WHEN {text} IS NOT NULL THEN list_position([{counts}], list_max([{counts}])) - 1 END"
+
+
+def _portion(signs: str, top: float) -> str:
+    return f"CAST((length(text) - length(translate(text, '{signs}', ''))) * {top}::DOUBLE / (1 + length(text)) AS FLOAT)"
+
+
+_LEXICAL = f"""SELECT row_id, CAST({_votes('p', scoring.SIGNS)} AS BIGINT) AS TopicClassifier, CAST({_votes('p', scoring.SIGNS[::-1])} AS BIGINT) AS FormatClassifier,
+  {_portion('bcdfgmpvw', 9.0)} AS fineweb_edu_classifier_score, CAST(length(text) // 4 + 1 AS BIGINT) AS jais_token_count,
+  {_portion('aeiou', 1.0)} AS fasttext_eli5_score, {_portion('nrstl', 1.0)} AS fasttext_preselect_score
+  FROM (SELECT row_id, text, coalesce("meta.url", '') || chr(10) || chr(10) || text AS p FROM classify)"""
+
+# What the adapters make of the objects that adapter_structs plants, from the columns that they are made of.
+_STRUCTS = """SELECT row_id, CASE WHEN row_id % 5 != 0 THEN subset END AS c, CASE WHEN row_id % 3 != 0 THEN row_id END AS o,
+  [CAST(row_id % 7 AS DOUBLE), NULL, NULL] AS doc_scores, CASE WHEN row_id % 4 != 0 THEN CAST(row_id AS VARCHAR) END AS pii, ['en', NULL] AS seg_langs,
+  CASE WHEN row_id % 2 = 0 THEN CAST(row_id AS VARCHAR) ELSE 'doi-' || row_id END AS doi, CASE WHEN row_id % 6 != 0 THEN 'open' END AS status,
+  CASE WHEN row_id % 3 != 0 THEN row_id END AS dup_megamath, CASE WHEN row_id % 3 = 0 THEN [CAST(row_id % 11 AS INT), NULL] ELSE NULL END AS media, row_id AS dup_uspto
+  FROM classify"""
+
 _LINES = r"""CASE WHEN text = '' THEN []::VARCHAR[] ELSE list_transform([1], lambda q: CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END)[1] END"""
 
 ORACLE_SQL = {
@@ -185,9 +228,10 @@ ORACLE_SQL = {
           regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]') AS p FROM documents))""",
     "truncate_list": """SELECT vec_id, least(len(embedding), 6)::INT AS shown, CASE WHEN len(embedding) > 6 THEN
         '… [truncated array: ' || len(embedding) || ' items; showing first 6, omitted ' || (len(embedding) - 6) || ']' END AS note FROM embeddings""",
-    "record_decoration": """SELECT target_id, subset, score_name, target_fraction, 'keep_targets.parquet' AS filename,
-        row_number() OVER (ORDER BY target_id) - 1 AS line_number FROM keep_targets""",
-    "jsonl_rows": "SELECT n_nationkey, '{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\"}' AS line FROM nation",
+    "record_decoration": "SELECT row_id, text, 'classify.parquet' AS filename, row_number() OVER () - 1 AS line_number FROM classify",
+    "jsonl_rows": "SELECT doc_id, CAST(to_json(struct_pack(doc_id, text, lang, n_chars, title)) AS VARCHAR) AS line FROM documents",
+    "lexical_scores": _LEXICAL,
+    "adapter_structs": _STRUCTS,
     "jsonl_strict": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "jsonl_lenient": "SELECT feed, count(*) AS n FROM raw_lines WHERE json_valid(line) AND ltrim(line) LIKE '{%' GROUP BY 1",
 }
@@ -204,7 +248,12 @@ def _adapter_sql(name: str, more: tuple[str, ...] = ()) -> str:
         nested = f"json_extract(line, '$.meta.\"{column.removeprefix('meta.')}\"')" if column.startswith("meta.") else "NULL"
         value = f"coalesce({nested}, {top})"
         text, shape = f"json_extract_string({value}, '$')", f"json_type({value})"
-        if column in strict:
+        if adapter.rest is not None and kind == "bigint":
+            cell = f"CASE WHEN {shape} IN ('BIGINT', 'UBIGINT') OR ({shape} = 'DOUBLE' AND CAST({text} AS DOUBLE) = floor(CAST({text} AS DOUBLE))) THEN CAST(CAST({text} AS DOUBLE) AS BIGINT) WHEN {shape} = 'VARCHAR' THEN try_cast(trim({text}) AS BIGINT) END"
+        elif adapter.rest is not None and kind == "string":
+            joined = f"array_to_string(list_transform(CAST({value} AS JSON[]), lambda x: coalesce(json_extract_string(x, '$'), '')), ' | ')"
+            cell = f"CASE {shape} WHEN 'ARRAY' THEN {joined} WHEN 'NULL' THEN NULL WHEN 'BOOLEAN' THEN upper(left({text}, 1)) || substr({text}, 2) ELSE {text} END"
+        elif column in strict:
             cell = f"CASE WHEN {shape} = 'VARCHAR' THEN {text} END"
         elif kind == "double":
             cell = f"CASE WHEN {shape} IN ('DOUBLE', 'BIGINT', 'UBIGINT') THEN CAST({text} AS DOUBLE) END"
@@ -213,9 +262,10 @@ def _adapter_sql(name: str, more: tuple[str, ...] = ()) -> str:
         elif kind == "string":
             cell = f"CASE {shape} WHEN 'VARCHAR' THEN {text} WHEN 'BOOLEAN' THEN upper(left({text}, 1)) || substr({text}, 2) WHEN 'DOUBLE' THEN {text} WHEN 'BIGINT' THEN {text} WHEN 'UBIGINT' THEN {text} END"
         else:
-            cell = "NULL"  # no delivered line has such an object
+            cell = "NULL"  # no delivered line has such an object; adapter_structs plants some
         cells.append(f'{cell} AS "{column.replace(".", "_").replace("-", "_")}"')
     return f"SELECT {', '.join(cells)} FROM raw_lines WHERE json_valid(line) AND ltrim(line) LIKE '{{%'"
 
 
 ORACLE_SQL |= {f"adapter_{n}": _adapter_sql(n) for n in ("hplt", "s2orc", "megamath", "philpapers")}
+ORACLE_SQL["adapter_uspto"] = _adapter_sql("uspto", ("meta.url", "meta.title"))

@@ -34,10 +34,11 @@ def shard_numbering(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shuffled_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """The production shuffle of documents: piles as partitions, each in its seeded order."""
+    """The documents as the production shuffle lays them out: pile and place are those of the physical partitions."""
     docs = _table(spark, folder, "documents")
-    rows = shuffling.with_pile(docs, "doc_id", PILES, SEED).withColumn("_order", shuffling.xx(SEED, "order", F.col("doc_id")))
-    return rows.repartitionById(PILES, "pile").sortWithinPartitions("_order", "doc_id").drop("_order", "pile")
+    rows = shuffling.laid_out(docs, "doc_id", PILES, SEED, shuffling.md5)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + 1
+    return rows.select(*docs.columns, F.spark_partition_id().alias("pile"), place.alias("pos"))
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,12 +63,12 @@ def manifest_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def row_at_index(spark: SparkSession, folder: str) -> DataFrame:
-    rows = parquet.with_row_number(_table(spark, folder, "mix_targets"))
-    return rows.filter("line_number = 7").select("mix_id", "source", "target_share", "line_number")
+    rows = parquet.with_row_number(_table(spark, folder, "classify"))
+    return rows.filter("line_number = 1234").select("row_id", "record_id", "text", "line_number")
 
 
 def head_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return parquet.head(_table(spark, folder, "score_breaks"), 20).select("score_name", "break_no", "boundary", "line_number")
+    return parquet.head(_table(spark, folder, "documents"), 20).select("doc_id", "source", "title", "line_number")
 
 
 def resume_anti(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,7 +95,7 @@ def first_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sample_one(spark: SparkSession, folder: str) -> DataFrame:
-    return parquet.sample_one(_table(spark, folder, "documents").select("doc_id", "source", "title"), "doc_id", SEED)
+    return parquet.sample_one(_table(spark, folder, "documents").select("doc_id", "source", "title"), "doc_id", SEED, shuffling.md5)
 
 
 def row_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +127,8 @@ ORACLE_SQL = {
     "pile_sizes": f"SELECT pile, count(*) AS n FROM ({_PERMUTED}) GROUP BY 1",
     "pile_permutation": _PERMUTED,
     "shard_numbering": f"SELECT doc_id, pile, floor((pos - 1) / {LINES})::INT AS shard FROM ({_PERMUTED})",
-    "shuffled_rows": "SELECT * FROM documents",
+    "shuffled_rows": f"SELECT d.*, p.pile, p.pos::BIGINT AS pos FROM documents d JOIN ({_PERMUTED}) p USING (doc_id)",
+    "sample_one": f"SELECT doc_id, source, title FROM documents ORDER BY {_HASH('sample')}, doc_id LIMIT 1",
     "round_robin_rank": f"SELECT source_file, (place % {WORLD})::INT AS rank FROM ({_FILES})",
     "block_partition": f"SELECT source_file, floor(place / ceil(total / {WORLD}))::INT AS block FROM ({_FILES})",
     "manifest_check": """SELECT run_id, max(world_size) AS world_size, max(num_piles) AS num_piles, count(DISTINCT rank) AS ranks,
@@ -134,8 +136,8 @@ ORACLE_SQL = {
         coalesce(min(world_size) = max(world_size) AND min(num_piles) = max(num_piles) AND count(DISTINCT rank) = max(world_size)
           AND count(DISTINCT CASE WHEN rank >= 0 THEN rank END) = count(DISTINCT rank) AND max(rank) = max(world_size) - 1, false) AS ok
         FROM pile_manifests GROUP BY 1""",
-    "row_at_index": "SELECT mix_id, source, target_share, line_number FROM (SELECT *, file_row_number AS line_number FROM (SELECT *, row_number() OVER () - 1 AS file_row_number FROM mix_targets)) WHERE line_number = 7",
-    "head_rows": "SELECT score_name, break_no, boundary, line_number FROM (SELECT *, row_number() OVER () - 1 AS line_number FROM score_breaks) WHERE line_number < 20",
+    "row_at_index": "SELECT row_id, record_id, text, line_number FROM (SELECT *, row_number() OVER () - 1 AS line_number FROM classify) WHERE line_number = 1234",
+    "head_rows": "SELECT doc_id, source, title, line_number FROM (SELECT *, row_number() OVER () - 1 AS line_number FROM documents) WHERE line_number < 20",
     "resume_anti": "SELECT row_id, record_id FROM classify c WHERE NOT EXISTS (SELECT 1 FROM topic_labels t WHERE t.record_id = c.record_id)",
     "set_rows": "SELECT record_id FROM topic_labels UNION ALL SELECT record_id FROM review_lists",
     "eos_split": _DOCUMENTS,

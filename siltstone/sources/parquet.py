@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import PROJECTION, project
+from ..operators.shuffling import Hash, xx
 from . import storage
 
 
@@ -123,6 +124,6 @@ def write_npy(df: DataFrame, column: str, folder: str) -> None:
     df.select(column).mapInPandas(save, "n bigint").agg(F.sum("n")).collect()  # one number
 
 
-def sample_one(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
+def sample_one(df: DataFrame, key: str, seed: int = 0, hashed: Hash = xx) -> DataFrame:
     """One row, uniform over rows and the same for any partitioning: the least hash of seed and key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), F.col(f"`{key}`")).limit(1)
+    return df.orderBy(hashed(seed, "sample", F.col(f"`{key}`")), F.col(f"`{key}`")).limit(1)
