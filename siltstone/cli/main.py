@@ -12,6 +12,7 @@ from ..functions import selector
 from ..functions.records import MAX_ITEMS, truncate_text
 from ..operators import quality, scoring
 from ..plans import annotate as plans
+from ..plans.lineage import scope
 from ..plans.runtime import models
 from ..session import build
 from ..sources import jsonl, listing, parquet, recovery, storage, token_files
@@ -31,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--seed", type=int, default=0), s.add_argument("--key", default=None)
     r = sub.add_parser("salvage", help="diagnose a Parquet file, or save what can be read to --target")
     r.add_argument("source"), r.add_argument("--target"), r.add_argument("--keep-bad-columns", action="store_true")
+    r.add_argument("--like", help="Parquet table whose columns, order and types the saved rows get")
     i = sub.add_parser("inspect", help="print one record or a selection of it")
     i.add_argument("source"), i.add_argument("selector", nargs="?"), i.add_argument("-i", "--index", type=int), i.add_argument("--seed", type=int, default=0)
     i.add_argument("--eos", type=int, help="end id of token files"), i.add_argument("--tokenizers", help="folder of tokenizer files that the end id is looked up in")
@@ -43,7 +45,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     try:
-        return globals()[f"run_{args.command}"](args)
+        with scope():  # what was materialized isn't needed once a program has ended
+            return globals()[f"run_{args.command}"](args)
     except (ValueError, OSError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 1
@@ -86,7 +89,7 @@ def run_salvage(args) -> int:
     if facts["errors"]:
         return 2 if facts["size"] is None else 1
     spark = build()
-    found = recovery.salvage_file(spark, args.source, args.target, not args.keep_bad_columns) if args.target else recovery.report(spark, [args.source])
+    found = recovery.salvage_file(spark, args.source, args.target, not args.keep_bad_columns, spark.read.parquet(args.like) if args.like else None) if args.target else recovery.report(spark, [args.source])
     for row in recovery.summary(found).orderBy("status").collect():  # three kinds of status
         print(row.asDict())
     return 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import adapters, quality, resume, scoring, shuffling
 from ..sources import jsonl, listing, parquet, storage
-from .runtime import positive, separate
+from .runtime import positive, rank_and_world, separate
 
 STATUS = "_status"  # table beside the results: one row per input that was tried
 FILES_PER_JOB = 1_000
@@ -35,6 +35,7 @@ def annotate_files(spark: SparkSession, source: str, target: str, registry: scor
     separate(source, target)
     paths = listing.files(source, (".jsonl", ".jsonl.gz"))
     listing.outputs([f"{source}/{p}" for p in paths], source, target)
+    paths = listing.shard(paths, *rank_and_world())  # several drivers may share the work
     rows = [(p, c.name if (c := adapters.choose(f"{source}/{p}")) else "none") for p in paths]
     inputs = spark.createDataFrame(rows, "source_file string, adapter string")
     noted = f"{target}/{STATUS}"

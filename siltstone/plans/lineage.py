@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = os.path.join(tempfile.gettempdir(), f"siltstone-{os.getpid()}")
     os.makedirs(folder, exist_ok=True)
@@ -34,7 +38,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Unlike a cache it survives the loss of executors, and unlike repeated use of
     a plan it runs Python stages and wide shuffles once.  The table is removed
-    when the driver ends.
+    at the end of the ``scope`` that it was written in, else when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/siltstone/{name}-{uuid.uuid4().hex}"
@@ -54,12 +58,38 @@ def broadcast_if_small(df: DataFrame, rows: int = 10_000) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Tables that are materialized inside are removed at the end, for programs whose results are written by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        while len(_written) > before:
+            _remove(*_written.pop())
+
+
+def sweep(spark: SparkSession, hours: float = 24) -> int:
+    """Remove tables older than so many hours, which drivers that were killed left behind; returns their number."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/siltstone")
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return 0
+    old = [f.getPath() for f in system.listStatus(root) if f.getModificationTime() < (time.time() - hours * 3600) * 1000]
+    for path in old:
+        system.delete(path, True)
+    return len(old)
+
+
 @atexit.register
 def _clean() -> None:
     while _written:
-        spark, path = _written.pop()
         try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the session is gone; the cluster's own cleaning remains
+            _remove(*_written.pop())
+        except Exception:  # the session is gone; sweep removes what remains
             pass

@@ -122,3 +122,24 @@ def test_runtime(tmp_path):
             runtime.separate("/a/b", bad)
     with pytest.raises(ValueError):
         runtime.positive(lines=0)
+
+
+def test_scope_and_sweep_remove_tables(spark):
+    from siltstone.plans import lineage
+
+    with lineage.scope():
+        df = lineage.materialize(spark.range(3), "gone")
+        path = df.inputFiles()[0]
+        assert df.count() == 3
+    from siltstone.sources import storage
+
+    assert not storage.exists(path)
+    kept = lineage.materialize(spark.range(3), "kept")
+    assert lineage.sweep(spark, hours=1) == 0 and kept.count() == 3
+
+
+def test_cast_to(spark):
+    from siltstone.sources import parquet
+
+    out = parquet.cast_to(spark.sql("SELECT 1 AS b, 'x' AS extra"), spark.sql("SELECT 'a' AS a, 2.0D AS b"))
+    assert out.columns == ["a", "b"] and tuple(out.first()) == (None, 1.0)
