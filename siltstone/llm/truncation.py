@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import spread_join
-from ..plans.lineage import broadcast_if_small, materialize
+from ..plans.lineage import materialize
 
 MIN_INNER = 3  # a trigram must be inner so often
 MAX_TERMINAL = 0.05  # ... and terminal in at most this part of its occurrences
@@ -39,7 +39,9 @@ SOFT_MARK = r"\.\.\.\s*$"
 BLANKS = " \t\n\x0b\f\r\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # Marks but comments have at most MARK_SIGNS signs that aren't blank; if the last MARK_CHARS hold more, a mark lies within them.
 MARK_SIGNS, MARK_CHARS = 22, 64
-BITS = 1 << 22  # of the bit array that the keys' parts are hashed to
+BITS = 1 << 22  # of the array that the keys' parts are hashed to
+COPY_BITS = 1 << 24  # ... and of the one for ids of texts with copies; more keys and copies only let more rows through
+LISTED_COPIES = 200_000
 LAST_CHARS = 100  # if so many last characters hold more than three tokens, the last three are the whole text's
 # Words (numbers of equally many digits are one), signs inside sentences, list signs, sentence marks, line ends.
 TOKENS = r"[\p{L}\p{M}\p{N}]++|[,;]|[-–—*•>|→]+(?=\s|$)|[.](?=[\s\"”’)\]]|$)|\n(?!\n)"
@@ -93,7 +95,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     )
     final = materialize(final, "final")
     keys = materialize(sql("SELECT DISTINCT a, b, c FROM {final} WHERE c NOT IN ('.', :line)", {"line": LINE}, final=final), "keys")
-    trigrams, marks = _counted(sql(f"SELECT md5(body) AS id, {words('body')} AS w FROM {{bodies}}", tokens, bodies=bodies), final, keys)
+    trigrams, marks = _counted(sql(f"SELECT {words('body')} AS w FROM {{once}}", tokens, once=_once(bodies, final)), keys)
     begun = sql(  # longer words after the same two words, by their beginnings as long as a final word
         """
         SELECT a, b, p AS c, sum(n) AS n, sum(n - ends) AS inner_n
@@ -136,7 +138,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
         {"line": LINE},
         spread=spread, trigrams=trigrams, begun=begun,
     )
-    found = sql("SELECT a, b, c, goes_on OR half_word OR rare_goes_on AS goes_on, stops FROM {judged} WHERE goes_on OR half_word OR rare_goes_on OR stops IS NOT NULL", judged=judged)
+    found = sql("SELECT a, b, c, goes_on OR half_word OR rare_goes_on AS goes_on, stops FROM {judged} WHERE goes_on OR half_word OR rare_goes_on OR NOT stops", judged=judged)
     # Many texts may end alike.
     out = spread_join(final, found, ["a", "b", "c"], by=["_key", "id"], how="left")
     return out.select(
@@ -145,55 +147,83 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     )
 
 
-def _hit(*parts: str) -> str:
-    """SQL: whether the bit of a key's part is set in {marks}."""
+def _bits(hashes: DataFrame, bits: int, name: str) -> DataFrame:
+    """One row with ``bits``: an array of 64-bit numbers in which the bits of the hashes (column h) are set."""
+    sql = hashes.sparkSession.sql
+    return materialize(sql(
+        f"""
+        SELECT transform(array_sort(collect_list(struct(r.id AS i, coalesce(w.bits, 0) AS bits))), x -> x.bits) AS bits
+        FROM range({bits // 64}) r LEFT JOIN (
+          SELECT shiftright(h, 6) AS i, bit_or(shiftleft(1L, CAST(h & 63 AS INT))) AS bits
+          FROM (SELECT pmod(h, {bits}) AS h FROM {{hashes}}) GROUP BY 1) w ON r.id = w.i
+        """,
+        hashes=hashes,
+    ), name)
+
+
+def _set(bits: int, *parts: str) -> str:
+    """SQL: whether the bit of the hash of some values is set in {marks}."""
     h = f"xxhash64({', '.join(parts)})"
-    return f"getbit((SELECT bits FROM {{marks}})[shiftright(pmod({h}, {BITS}), 6)], pmod({h}, 64)) = 1"
+    return f"getbit((SELECT bits FROM {{marks}})[shiftright(pmod({h}, {bits}), 6)], pmod({h}, 64)) = 1"
 
 
-def _counted(texts: DataFrame, final: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a, b, c, n, ends) and the bit array: how often trigrams occur in the distinct texts (id, w), and how often
+def _hit(*parts: str) -> str:
+    return _set(BITS, *parts)
+
+
+def _once(bodies: DataFrame, final: DataFrame, listed: int = LISTED_COPIES) -> DataFrame:
+    """(body), each once.
+
+    Up to `listed` further copies are left out by a broadcast list of their keys.  With
+    more, or where copies share a key, the bodies whose id is that of copies, or has
+    a bit in common with one, are shuffled, and no others.  The results are the same.
+    """
+    sql = bodies.sparkSession.sql
+    copied = materialize(sql("SELECT id, min(_key) AS first, count(*) AS n, count(DISTINCT _key) AS keys FROM {final} GROUP BY id HAVING count(*) > 1", final=final), "copied")
+    # The generator keeps filters and joins from being moved below, where they would compute the bodies twice.
+    rows = sql("SELECT inline(array(struct(_key, md5(body) AS id, body))) FROM {bodies}", bodies=bodies)
+    more, shared = copied.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)), F.count_if(F.expr("n != keys"))).first()
+    if more <= listed and not shared:
+        rest = sql("SELECT f._key, f.id FROM {final} f JOIN {copied} c ON f.id = c.id WHERE f._key != c.first", final=final, copied=copied)
+        rest = F.broadcast(materialize(rest, "rest"))  # at most `listed` rows
+        return sql("SELECT body FROM {rows} r LEFT ANTI JOIN {rest} c ON r._key = c._key AND r.id = c.id", rows=rows, rest=rest)
+    marks = _bits(sql("SELECT xxhash64(id) AS h FROM {copied}", copied=copied), COPY_BITS, "copies")
+    alone = sql(f"SELECT body FROM {{rows}} WHERE NOT {_set(COPY_BITS, 'id')}", rows=rows, marks=marks)
+    again = sql(f"SELECT id, body FROM {{rows}} WHERE {_set(COPY_BITS, 'id')}", rows=rows, marks=marks)
+    return alone.union(again.dropDuplicates(["id"]).select("body"))
+
+
+def _counted(texts: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, c, n, ends) and the bit array: how often trigrams occur in the texts (w), and how often
     at ends, as far as the keys need it: trigrams that share the first or the last two words with a
     key, and with null a and b the other occurrences of the keys' last words.
 
     What no key can need is dropped before the shuffle by an array of BITS bits;
-    trigrams that pass it by chance match no key later.  A text
-    with copies is counted by its id, and its sums divided by the number of its copies.
+    trigrams that pass it by chance match no key later.
     """
     sql = texts.sparkSession.sql
-    # One bit a hash, as an array of BITS / 64 numbers in one row.
-    marks = materialize(sql(
-        f"""
-        SELECT transform(array_sort(collect_list(struct(r.id AS i, coalesce(w.bits, 0) AS bits))), x -> x.bits) AS bits
-        FROM range({BITS // 64}) r LEFT JOIN (
-          SELECT shiftright(h, 6) AS i, bit_or(shiftleft(1L, CAST(h & 63 AS INT))) AS bits
-          FROM (SELECT pmod(x, {BITS}) AS h FROM (SELECT explode(array(xxhash64(1, a, b), xxhash64(2, b, c), xxhash64(3, c))) AS x FROM {{keys}})) GROUP BY 1) w ON r.id = w.i
-        """,
-        keys=keys,
-    ), "marks")
-    copies = broadcast_if_small(materialize(sql("SELECT id, count(*) AS copies FROM {final} GROUP BY id HAVING count(*) > 1", final=final), "copies"))
+    marks = _bits(sql("SELECT explode(array(xxhash64(1, a, b), xxhash64(2, b, c), xxhash64(3, c))) AS h FROM {keys}", keys=keys), BITS, "marks")
     rows = sql(
         """
-        SELECT inline(arrays_zip(a, b, c, next)) AS (a, b, c, next), id, copies
+        SELECT inline(arrays_zip(a, b, c, next)) AS (a, b, c, next)
         FROM (SELECT slice(concat(array(:line, :line), w), 1, size(w)) AS a, slice(concat(array(:line), w), 1, size(w)) AS b, w AS c,
-                     concat(slice(w, 2, greatest(size(w) - 1, 0)), array('')) AS next, if(m.copies IS NULL, NULL, t.id) AS id, m.copies
-              FROM {texts} t LEFT JOIN {copies} m ON t.id = m.id)
+                     concat(slice(w, 2, greatest(size(w) - 1, 0)), array('')) AS next
+              FROM {texts})
         """,
         {"line": LINE},
-        texts=texts, copies=copies,
+        texts=texts,
     )
     sums = sql(
         f"""
-        SELECT if(near, a, NULL) AS a, if(near, b, NULL) AS b, c, count(*) AS n, count_if(next IN ('', '.', :line)) AS ends, id, copies
+        SELECT if(near, a, NULL) AS a, if(near, b, NULL) AS b, c, count(*) AS n, count_if(next IN ('', '.', :line)) AS ends
         FROM (SELECT *, {_hit('1', 'a', 'b')} OR {_hit('2', 'b', 'c')} AS near FROM {{rows}} WHERE c NOT IN ('.', :line))
         WHERE near OR {_hit('3', 'c')}
-        GROUP BY 1, 2, 3, id, copies
+        GROUP BY 1, 2, 3
         """,
         {"line": LINE},
         rows=rows, marks=marks,
     )
-    once = "sum(if(id IS NULL, {0}, {0} div copies))"
-    return materialize(sql(f"SELECT a, b, c, {once.format('n')} AS n, {once.format('ends')} AS ends FROM {{sums}} GROUP BY 1, 2, 3", sums=sums), "trigrams"), marks
+    return materialize(sums, "trigrams"), marks
 
 
 def rates(found: DataFrame) -> DataFrame:

@@ -69,3 +69,19 @@ def test_ends_of_any_length(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert truncation.verdicts(df).count() == 0
+
+
+def test_copies_by_either_way(spark, monkeypatch):
+    """Listed copies, too many of them, and copies that share a key or have none give the same verdicts."""
+    rows, _ = corpus()
+    whole = [r for r in rows if r[1].endswith(".")]
+    cut = "Some prefer the photon because it explains the"
+    copies = [(10_000 + i, cut, "x") for i in range(40)]
+    schema = "doc_id bigint, text string, source string"
+    found = lambda more: sorted(map(str, truncation.verdicts(spark.createDataFrame([*whole, *more], schema)).filter("cut").collect()))
+    listed = found(copies)
+    assert len(listed) >= 40
+    shared = found([*copies, (10_000, cut, "x"), (None, cut, "x")])
+    assert len(shared) == len(listed) + 2 and set(shared) >= set(listed)
+    monkeypatch.setattr(truncation._once, "__defaults__", (3,))
+    assert found(copies) == listed
