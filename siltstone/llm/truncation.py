@@ -51,7 +51,8 @@ FROM, TO = "123456789!?…\r", "000000000...\n"
 
 
 def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(key, source, marked, cut) of each row whose text holds a letter or digit."""
+    """(key, source, marked, cut, evidence) of each row whose text holds a letter or digit; evidence is
+    trigram where the trigrams show the cut, and mark where only a mark does."""
     spark = documents.sparkSession
     sql = spark.sql
     docs = documents.select(F.col(key).alias("_key"), F.col(source).alias("source"), F.col(text).alias("text"))
@@ -144,6 +145,7 @@ def verdicts(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     return out.select(
         F.col("_key").alias(key), "source", F.expr("hard OR soft").alias("marked"),
         F.expr("coalesce(goes_on, false) OR hard OR (soft AND NOT coalesce(stops, true))").alias("cut"),
+        F.expr("CASE WHEN goes_on OR (soft AND NOT hard AND NOT stops) THEN 'trigram' WHEN hard THEN 'mark' END").alias("evidence"),
     )
 
 
@@ -227,7 +229,8 @@ def _counted(texts: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def rates(found: DataFrame) -> DataFrame:
-    """(source, texts, cut, share) per source; a null source is a group of its own."""
+    """(source, texts, cut, by_mark, share) per source, by_mark being those that only a mark shows; a null source is a group of its own."""
     return found.groupBy("source").agg(
-        F.count("*").alias("texts"), F.count_if("cut").alias("cut"), (F.count_if("cut") / F.count("*")).alias("share")
-    )
+        F.count("*").alias("texts"), F.count_if("cut").alias("cut"), F.count_if(F.col("evidence") == "mark").alias("by_mark"),
+        (F.count_if("cut") / F.count("*")).alias("share"),
+    )
