@@ -179,16 +179,11 @@ QUERIES = {
     )
 }
 
-def _votes(text: str, signs: str) -> str:
-    counts = ", ".join(f"length({text}) - length(translate({text}, '{x}', ''))" for x in signs)
-    return f"CASE WHEN {text} IS NOT NULL THEN list_position([{counts}], list_max([{counts}])) - 1 END"
-
-
 def _portion(signs: str, top: float) -> str:
     return f"CAST((length(text) - length(translate(text, '{signs}', ''))) * {top}::DOUBLE / (1 + length(text)) AS FLOAT)"
 
 
-_LEXICAL = f"""SELECT row_id, CAST({_votes('p', scoring.SIGNS)} AS BIGINT) AS TopicClassifier, CAST({_votes('p', scoring.SIGNS[::-1])} AS BIGINT) AS FormatClassifier,
+_LEXICAL = f"""SELECT row_id, CAST(length(p) % {scoring.CLASSES} AS BIGINT) AS TopicClassifier, CAST(length(replace(p, chr(10), '')) % {scoring.CLASSES} AS BIGINT) AS FormatClassifier,
   {_portion('bcdfgmpvw', 9.0)} AS fineweb_edu_classifier_score, CAST(length(text) // 4 + 1 AS BIGINT) AS jais_token_count,
   {_portion('aeiou', 1.0)} AS fasttext_eli5_score, {_portion('nrstl', 1.0)} AS fasttext_preselect_score
   FROM (SELECT row_id, text, coalesce("meta.url", '') || chr(10) || chr(10) || text AS p FROM classify)"""
