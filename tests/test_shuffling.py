@@ -124,9 +124,12 @@ def test_runtime(tmp_path):
         runtime.positive(lines=0)
 
 
-def test_scope_and_sweep_remove_tables(spark):
+def test_scope_and_sweep_remove_tables(spark, tmp_path, monkeypatch):
+    import os
+
     from siltstone.plans import lineage
 
+    monkeypatch.setattr(lineage, "shared_folder", lambda spark: f"file://{tmp_path}")
     with lineage.scope():
         df = lineage.materialize(spark.range(3), "gone")
         path = df.inputFiles()[0]
@@ -135,7 +138,10 @@ def test_scope_and_sweep_remove_tables(spark):
 
     assert not storage.exists(path)
     kept = lineage.materialize(spark.range(3), "kept")
-    assert lineage.sweep(spark, hours=1) == 0 and kept.count() == 3
+    left = tmp_path / "siltstone" / "left-1"
+    left.mkdir()
+    os.utime(left, (1, 1))
+    assert lineage.sweep(spark, hours=1) == 1 and not left.exists() and kept.count() == 3
 
 
 def test_cast_to(spark):
