@@ -41,12 +41,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     at the end of the ``scope`` that it was written in, else when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/siltstone/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """Path of a new folder among the materialized tables, removed with them."""
+    path = f"{shared_folder(spark).rstrip('/')}/siltstone/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 10_000) -> DataFrame:
     """df as a broadcast side if it has at most so many rows, checked by running it.
 

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import posixpath
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.lineage import shared_folder
+from ..plans.lineage import scratch
 from ..sources import parquet, recovery, storage
 
 TABLES = ["classify", "documents", "raw_lines"]
@@ -21,7 +20,7 @@ def _paths(spark: SparkSession, folder: str, name: str) -> list[str]:
 
 def _damaged(spark: SparkSession, folder: str) -> list[str]:
     """Copies of the documents' files in row groups of GROUP_ROWS rows; in the second one of each file the title can't be read."""
-    target = f"{shared_folder(spark).rstrip('/')}/siltstone/damaged-{uuid.uuid4().hex}"
+    target = scratch(spark, "damaged")
     storage.make_folder(target)
 
     def copy(path: str) -> list[dict]:
