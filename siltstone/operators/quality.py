@@ -67,11 +67,15 @@ def load_breaks(folder: str | None = None) -> dict[str, list[float]]:
     """Boundaries of each score from ``breaks_<score>.json`` of a folder, or the published ones."""
     if folder is None:
         return {k: checked(k, v) for k, v in DEFAULT_BREAKS.items()}
+    from ..sources import storage
+
     out = {}
     for score in SCORES:
         path = f"{folder}/breaks_{score.removesuffix('_score')}.json"
-        with open(path, encoding="utf-8") as f:
-            out[score] = checked(path, json.load(f))
+        content = storage.read_text(path)
+        if content is None:
+            raise ValueError(f"no boundaries at {path}")
+        out[score] = checked(path, json.loads(content))
     return out
 
 
@@ -178,10 +182,11 @@ def write_categories(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FIL
 
 
 def write_counts(df: DataFrame, path: str, column: str = "quality_category") -> dict:
-    """The counts as JSON in a local file, {"per_subdir": {...}, "TOTAL": n}, and as a result."""
+    """The counts as a JSON file, {"per_subdir": {...}, "TOTAL": n}, and as a result."""
+    from ..sources import storage
+
     rows = {r["category"]: r["n"] for r in counts_with_total(df, column).collect()}  # one row a category
     total = rows.pop("TOTAL")
     out = {"per_subdir": dict(sorted((k or "", n) for k, n in rows.items())), "TOTAL": total}
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(out, f, indent=2)
+    storage.write_text(path, json.dumps(out, indent=2))
     return out

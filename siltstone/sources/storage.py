@@ -54,7 +54,8 @@ def read_text(path: str) -> str | None:
 def write_text(path: str, content: str) -> None:
     """A small file, written aside and renamed, so that it appears whole."""
     system, inner = located(path)
-    system.create_dir(posixpath.dirname(inner), recursive=True)
+    if posixpath.dirname(inner):
+        system.create_dir(posixpath.dirname(inner), recursive=True)
     with system.open_output_stream(f"{inner}.part") as f:
         f.write(content.encode("utf-8"))
     system.move(f"{inner}.part", inner)

@@ -170,9 +170,10 @@ def records(spark: SparkSession, path: str, eos: int, decoder: Callable[[], Call
 def write(path: str, ids, size: int, tokenizer: str) -> None:
     """A token file and its metadata."""
     values = np.asarray(ids, dtype=f"<u{size}")
-    values.tofile(path)
-    with open(f"{path}.metadata", "w", encoding="utf-8") as f:
-        f.write(f"{tokenizer}|{size}\n{len(values)}\n")
+    system, inner = storage.located(path)
+    with system.open_output_stream(inner) as f:
+        f.write(values.tobytes())
+    storage.write_text(f"{path}.metadata", f"{tokenizer}|{size}\n{len(values)}\n")
 
 
 def documents_of(stream: DataFrame, group: str, order: str, token: str, eos: int, window_rows: int = WINDOW_ROWS) -> DataFrame:

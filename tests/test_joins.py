@@ -33,3 +33,17 @@ def test_hot_join(spark):
     assert hot_join(big.limit(0), small, ["v"], "n > 100", by=["id"]).count() == 0
     missing = hot_join(big, small.filter("v > 10"), ["v"], "n > 100", by=["id"])
     assert missing.filter("v = 1.5 and twice is null").count() == 1000
+
+
+def test_hot_and_null_keys_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.sql("SELECT id, CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 1.5D ELSE CAST(id AS DOUBLE) END AS v FROM range(30000)").repartition(4)
+        small = big.filter("v is not null").groupBy("v").count().selectExpr("v", "count AS n")
+        joined = hot_join(big, small, ["v"], "n > 1000", by=["id"])
+        sizes = [r[1] for r in joined.selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()]
+        assert sum(sizes) == 30000 and max(sizes) < 10000  # a third of the rows have one value, another third none
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
