@@ -116,10 +116,13 @@ def check_manifests(manifests: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def parts_on_disk(spark: SparkSession, path: str) -> DataFrame:
-    """(pile, part) of the shards below path, by their names: partition id is pile id."""
+    """(pile, part) of the shards with lines below path, by their names: partition id is pile id.
+
+    Spark leaves a file without lines for the first pile if that has no rows.
+    """
     from ..sources import storage
 
-    found = [m for p in storage.below(path) if (m := re.fullmatch(r"part-(\d+)-.*?-c(\d+)\..*", p))]
+    found = [m for p, size in storage.sizes(path).items() if size and (m := re.fullmatch(r"part-(\d+)-.*?-c(\d+)\..*", p))]
     return spark.createDataFrame([(int(m[1]), int(m[2])) for m in found], "pile int, part int")
 
 

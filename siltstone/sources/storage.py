@@ -34,11 +34,16 @@ def exists(path: str) -> bool:
 
 def below(root: str) -> list[str]:
     """Paths, relative to root, of all files at any depth; ValueError if root is no folder."""
+    return list(sizes(root))
+
+
+def sizes(root: str) -> dict[str, int]:
+    """Bytes of each file below root by its relative path."""
     system, inner = located(root)
     if system.get_file_info(inner).type != fs.FileType.Directory:
         raise ValueError(f"no folder: {root}")
     found = system.get_file_info(fs.FileSelector(inner, recursive=True))
-    return [posixpath.relpath(f.path, inner) for f in found if f.type == fs.FileType.File]
+    return {posixpath.relpath(f.path, inner): f.size for f in found if f.type == fs.FileType.File}
 
 
 def read_text(path: str) -> str | None:

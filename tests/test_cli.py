@@ -113,3 +113,12 @@ def test_empty_categories_have_folders(spark, tmp_path):
     rows = spark.createDataFrame([("t", 0.0)], "text string, fasttext_eli5_score double")
     quality.write_categories(quality.classify(quality.project(rows)), str(tmp_path / "c"))
     assert {p.name for p in (tmp_path / "c").iterdir() if p.is_dir()} == {f"category={c}" for c in quality.CATEGORIES}
+
+
+def test_an_empty_first_pile_is_no_wrong_part(spark, tmp_path):
+    from siltstone.operators import shuffling
+
+    rows = shuffling.with_pile(spark.range(60), "id", 3).filter("pile != 0").select("id")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    assert cli.main(["shuffle", str(tmp_path / "in"), str(tmp_path / "out"), "--piles", "3", "--lines", "7", "--key", "id"]) == 0
+    assert sum(len(p.read_text().splitlines()) for p in (tmp_path / "out").glob("part*")) == rows.count()
